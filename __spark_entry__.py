@@ -9,7 +9,13 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from adstream.operators import arrivals, counts, events, latency, mapping, progress, records
-from adstream.plans import ctr_left_join, ctr_one_pass, ctr_smoothed, reports
+from adstream.plans import (
+    ctr_from_records,
+    ctr_left_join,
+    ctr_one_pass,
+    ctr_smoothed,
+    reports,
+)
 from adstream.session import shared_folder
 from adstream.sources import (
     FileFolder,
@@ -221,15 +227,16 @@ def _windowed_queries(suffix: str, length: str) -> dict[str, Query]:
     return made
 
 
-def _ctr_from_records(spark, sf):
-    parsed = events.parse_ad_events(_envelopes(spark, sf), keep_corrupt=False)
-    return ctr_one_pass(parsed, "1 hour")
+def _ctr_from_records(form):
+    return lambda spark, sf: ctr_from_records(_envelopes(spark, sf), form, "1 hour")
+
 
+def _stream_ctr_from_records(form, encode, name):
+    def run(spark, sf):
+        ctr = ctr_from_records(_envelope_stream(spark, sf), form, "1 hour")
+        return run_to_table(encode(ctr), spark, name)
 
-def _stream_ctr_from_records(spark, sf):
-    parsed = events.parse_ad_events(_envelope_stream(spark, sf), keep_corrupt=False)
-    coded = records.result_records(ctr_left_join(parsed, "1 hour"))
-    return run_to_table(coded, spark, "stream_ctr_from_records")
+    return run
 
 
 def _all_queries() -> dict[str, Query]:
@@ -251,8 +258,15 @@ def _all_queries() -> dict[str, Query]:
             s,
             "stream_campaign_event_times",
         ),
-        "ctr_from_records": _ctr_from_records,
-        "stream_ctr_from_records": _stream_ctr_from_records,
+        "ctr_left_join_from_records": _ctr_from_records(ctr_left_join),
+        "ctr_one_pass_from_records": _ctr_from_records(ctr_one_pass),
+        "ctr_smoothed_from_records": _ctr_from_records(ctr_smoothed),
+        "stream_ctr_left_join_from_records": _stream_ctr_from_records(
+            ctr_left_join, records.result_records, "stream_ctr_left_join_from_records"
+        ),
+        "stream_ctr_smoothed_from_records": _stream_ctr_from_records(
+            ctr_smoothed, records.smoothed_result_records, "stream_ctr_smoothed_from_records"
+        ),
         "result_records": lambda s, sf: records.result_records(
             ctr_left_join(_events(s, sf), "1 hour")
         ),
@@ -385,6 +399,10 @@ _RESULT_JSON = f"""select campaign_id as key, cast(json_object('campaign_id', ca
   'views', views, 'clicks', clicks, 'ctr', ctr,
   'max_kafka_ts', strftime({_MS.format("max_kafka_ts")}, {_ISO})) as varchar) as value from r"""
 
+_SMOOTHED_JSON = """select cast(json_object('window_start', window_start,
+  'campaign_id', campaign_id, 'clicks', clicks, 'view_count', view_count, 'ctr', ctr,
+  'max_produce_time', max_produce_time) as varchar) as value from r"""
+
 _RESULTS_1H = f"""r as (select * replace ({_MS.format("max_kafka_ts")} as max_kafka_ts),
   window_end + interval 1 second + cast(campaign_id as int) * interval 1 millisecond append_ts
   from ({_ctr_sql(3600)}))"""
@@ -450,14 +468,15 @@ def oracle_sql() -> dict[str, str]:
         "filter_clicks": f"with {_AD_EVENTS} select * from ad where event_type = 'click'",
         "campaign_event_times": f"with {_AD_EVENTS} select campaign_id, event_ts from ad",
         "stream_campaign_event_times": f"with {_AD_EVENTS} select campaign_id, event_ts from ad",
-        "ctr_from_records": _ctr_sql(3600, ts=events_ms),
-        "stream_ctr_from_records": f"""with r as (
+        "ctr_left_join_from_records": _ctr_sql(3600, ts=events_ms),
+        "ctr_one_pass_from_records": _ctr_sql(3600, ts=events_ms),
+        "ctr_smoothed_from_records": _smoothed_sql(3600),
+        "stream_ctr_left_join_from_records": f"""with r as (
             {_ctr_sql(3600, _closed(3600, "'view', 'click'"), events_ms)}) {_RESULT_JSON}""",
+        "stream_ctr_smoothed_from_records": f"""with r as (
+            {_smoothed_sql(3600, _closed(3600, ""))}) {_SMOOTHED_JSON}""",
         "result_records": f"with r as ({_ctr_sql(3600)}) {_RESULT_JSON}",
-        "result_records_smoothed": f"""with r as ({_smoothed_sql(3600)})
-            select cast(json_object('window_start', window_start, 'campaign_id', campaign_id,
-              'clicks', clicks, 'view_count', view_count, 'ctr', ctr,
-              'max_produce_time', max_produce_time) as varchar) as value from r""",
+        "result_records_smoothed": f"with r as ({_smoothed_sql(3600)}) {_SMOOTHED_JSON}",
         "read_results": f"with {_RESULTS_1H} select * from r",
         "read_results_smoothed": f"with {_SMOOTHED_1H} select * from r",
         "window_latency": f"with {_LATENCY_1H} select * from l",

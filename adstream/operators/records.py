@@ -6,8 +6,9 @@ from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
-from adstream.operators.events import PAYLOAD_CAMPAIGN
+from adstream.operators.events import PAYLOAD_CAMPAIGN, json_columns
 from adstream.schemas import AD_EVENT, CTR_RESULT, SMOOTHED_RESULT
 
 
@@ -64,8 +65,8 @@ def parse_smoothed_results(records: DataFrame) -> DataFrame:
     return _decode(records, SMOOTHED_RESULT)
 
 
-def _decode(records: DataFrame, schema) -> DataFrame:
-    data = F.from_json(F.col("value").cast("string"), schema)
+def _decode(records: DataFrame, schema: T.StructType) -> DataFrame:
     return records.select(
-        data.alias("data"), F.col("timestamp").alias("append_ts")
-    ).select("data.*", "append_ts")
+        json_columns(F.col("value").cast("string"), schema),
+        F.col("timestamp").alias("append_ts"),
+    )

@@ -47,9 +47,15 @@ class ProgressStore(StreamingQueryListener):
         """Write out the reports held so far."""
         with self._lock:
             reports, self._reports = self._reports, []
-        if reports:
-            rows = self._spark.createDataFrame([(r,) for r in reports], "value string")
+        if not reports:
+            return
+        rows = self._spark.createDataFrame([(r,) for r in reports], "value string")
+        try:
             rows.coalesce(1).write.mode("append").text(self._path)
+        except Exception:
+            with self._lock:
+                self._reports = reports + self._reports
+            raise
 
     def wait(self, seconds: float = 60.0) -> bool:
         """Wait until the reports of a query that ended have been written."""

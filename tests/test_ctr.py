@@ -1,0 +1,144 @@
+"""The three CTR forms on hand-made events."""
+
+import pytest
+from hypothesis import HealthCheck, given, settings
+from hypothesis import strategies as st
+from pyspark.sql import functions as F
+
+from adstream.operators import counts, events
+from adstream.plans import ctr_from_records, ctr_left_join, ctr_one_pass, ctr_smoothed
+from helpers import BASE, GOLDEN, ad_events, at, envelopes
+
+import json
+
+
+def _by_group(df, *values):
+    rows = df.withColumn("start", F.unix_millis(F.col("window_start").cast("timestamp")) - BASE)
+    return {
+        (r["campaign_id"], r["start"]): tuple(r[v] for v in values) for r in rows.collect()
+    }
+
+
+SECOND = {("1", 10000): (1, 0, 0.0), ("2", 10000): (1, 1, 1.0)}
+
+
+def test_left_join(spark):
+    got = _by_group(ctr_left_join(ad_events(spark, GOLDEN)), "views", "clicks", "ctr")
+    assert got == SECOND | {
+        ("1", 0): (2, 1, 0.5),
+        ("2", 0): (1, 0, 0.0),
+        (None, 0): (1, 0, 0.0),
+    }
+
+
+def test_one_pass_counts_clicks_of_a_missing_campaign(spark):
+    got = _by_group(ctr_one_pass(ad_events(spark, GOLDEN)), "views", "clicks", "ctr")
+    assert got == SECOND | {
+        ("1", 0): (2, 1, 0.5),
+        ("2", 0): (1, 0, 0.0),
+        (None, 0): (1, 1, 1.0),
+    }
+
+
+def test_smoothed(spark):
+    got = _by_group(ctr_smoothed(ad_events(spark, GOLDEN)), "view_count", "clicks", "ctr")
+    assert got == {
+        (1, 0): (3, 1, 1 / 3),
+        (2, 0): (2, 0, 0.0),
+        (3, 0): (1, 1, 1.0),
+        (4, 0): (1, 0, 0.0),
+        (None, 0): (2, 1, 0.5),
+        (1, 10000): (2, 0, 0.0),
+        (2, 10000): (2, 1, 0.5),
+    }
+
+
+def test_latest_times(spark):
+    events_df = ad_events(spark, GOLDEN)
+    joined = ctr_left_join(events_df).filter("campaign_id = '1' and views = 2")
+    assert joined.select(F.unix_millis("max_kafka_ts")).first()[0] == BASE + 9000
+    # Over views and clicks, of which the view may be the only one.
+    alone = ctr_left_join(events_df).filter("campaign_id = '2' and clicks = 0")
+    assert alone.select(F.unix_millis("max_kafka_ts")).first()[0] == BASE + 3000
+    # The smoothed form looks at every kind of event.
+    smoothed = ctr_smoothed(events_df).filter("campaign_id = 4")
+    assert smoothed.first()["max_produce_time"] == BASE + 5000
+
+
+def test_result_types(spark):
+    assert ctr_smoothed(ad_events(spark, GOLDEN)).dtypes == [
+        ("window_start", "string"),
+        ("campaign_id", "int"),
+        ("clicks", "int"),
+        ("view_count", "int"),
+        ("ctr", "double"),
+        ("max_produce_time", "bigint"),
+    ]
+    expected = [
+        ("campaign_id", "string"),
+        ("window_start", "timestamp"),
+        ("window_end", "timestamp"),
+        ("views", "bigint"),
+        ("clicks", "bigint"),
+        ("ctr", "double"),
+        ("max_kafka_ts", "timestamp"),
+    ]
+    assert ctr_left_join(ad_events(spark, GOLDEN)).dtypes == expected
+    assert ctr_one_pass(ad_events(spark, GOLDEN)).dtypes == expected
+
+
+def test_window_text_has_milliseconds(spark):
+    first = ctr_smoothed(ad_events(spark, GOLDEN)).agg(F.min("window_start")).first()[0]
+    assert first == at(0)
+
+
+def _golden_records(spark, **change):
+    rows = []
+    for key, kind, ms in GOLDEN:
+        body = {
+            "event_type": kind,
+            "event_time": BASE + ms,
+            "campaign_id": None if key is None else int(key),
+            "production_timestamp": BASE + ms + 0.75,
+        }
+        rows.append((key, json.dumps(body | change), ms))
+    return envelopes(spark, rows)
+
+
+@pytest.mark.parametrize("form", [ctr_left_join, ctr_one_pass, ctr_smoothed])
+def test_from_records_equals_from_events(spark, form):
+    got = ctr_from_records(_golden_records(spark), form)
+    want = form(ad_events(spark, GOLDEN))
+    assert sorted(map(str, got.collect())) == sorted(map(str, want.collect()))
+
+
+def test_text_search_keeps_escaped_words(spark):
+    text = '{"event_type":"vi\\u0065w","event_time":%d}' % (BASE + 1000)
+    other = '{"event_type":"purchase","event_time":%d}' % (BASE + 1000)
+    records = envelopes(spark, [("1", text, 1000), ("1", other, 1000)])
+    assert events.may_be_of_kind(records, ["view"]).count() == 1
+    for form in (ctr_left_join, ctr_one_pass):
+        assert ctr_from_records(records, form).first()["views"] == 1
+
+
+campaigns = st.sampled_from(["1", "2", "3"])
+kinds = st.sampled_from(["view", "click", "purchase"])
+event_rows = st.lists(
+    st.tuples(campaigns, kinds, st.integers(0, 60_000)), min_size=1, max_size=60
+)
+
+
+@settings(
+    max_examples=15,
+    deadline=None,
+    suppress_health_check=[HealthCheck.function_scoped_fixture],
+)
+@given(rows=event_rows)
+def test_forms_agree(spark, rows):
+    df = ad_events(spark, rows)
+    joined = sorted(map(str, ctr_left_join(df).collect()))
+    assert joined == sorted(map(str, ctr_one_pass(df).collect()))
+    views = sum(kind == "view" for _, kind, _ in rows)
+    assert (counts.view_counts(df).agg(F.sum("views")).first()[0] or 0) == views
+    total = ctr_smoothed(df).agg(F.sum(F.col("view_count") - 1)).first()[0]
+    assert total == views
