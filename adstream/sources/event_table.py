@@ -20,7 +20,7 @@ FILE = "events.parquet"
 
 
 def read_table(spark: SparkSession, folder: str) -> DataFrame:
-    return spark.read.parquet(f"{folder}/{FILE}")
+    return spark.read.schema(TABLE_SCHEMA).parquet(f"{folder}/{FILE}")
 
 
 def stream_table(

@@ -13,6 +13,10 @@ from adstream.sources import FileFolder, console, write_results
 from adstream.streaming import ProgressStore, run_available, run_to_table, start
 from helpers import BASE, GOLDEN, FileFeed, ad_events, texts
 
+HDFS_STORE = (
+    "org.apache.spark.sql.execution.streaming.state.HDFSBackedStateStoreProvider"
+)
+
 FORMS = [ctr_left_join, ctr_one_pass, ctr_smoothed]
 
 
@@ -96,16 +100,21 @@ def test_restart_goes_on_where_it_stopped(spark, feed, tmp_path, form):
     assert texts(got, *got.columns) == texts(want, *want.columns)
 
 
-def test_rocksdb_state(spark, feed, tmp_path):
+def test_default_state_store(spark, feed):
+    """The tests' session keeps state in RocksDB; Spark's default must do as well."""
     feed.add(*GOLDEN).add(("9", "view", 25000))
-    for key, value in STREAM_CONF.items():
-        spark.conf.set(key, value)
+    kept = {key: spark.conf.get(key) for key in STREAM_CONF}
+    assert kept == STREAM_CONF
+    for key in STREAM_CONF:
+        spark.conf.unset(key)
+    spark.conf.set("spark.sql.streaming.stateStore.providerClass", HDFS_STORE)
+    spark.conf.set("spark.sql.streaming.join.stateFormatVersion", "2")
     try:
-        got = run_to_table(ctr_left_join(feed.stream(spark)), spark, "rocks")
+        got = run_to_table(ctr_left_join(feed.stream(spark)), spark, "default")
         assert got.count() == 5
     finally:
-        for key in STREAM_CONF:
-            spark.conf.unset(key)
+        for key, value in kept.items():
+            spark.conf.set(key, value)
 
 
 def test_stream_static_lookup(spark, feed):
