@@ -1,6 +1,6 @@
 """Sources and sinks."""
 
-from adstream.sources.endpoints import FileFolder, JdbcTable, KafkaTopic
+from adstream.sources.endpoints import FileFolder, JdbcTable, KafkaTopic, endpoint
 from adstream.sources.readers import (
     read_events,
     read_latencies,
@@ -11,6 +11,7 @@ from adstream.sources.readers import (
 from adstream.sources.writers import (
     console,
     stream_writer,
+    write_events,
     write_latency,
     write_mapping,
     write_results,
@@ -21,12 +22,14 @@ __all__ = [
     "JdbcTable",
     "KafkaTopic",
     "console",
+    "endpoint",
     "read_events",
     "read_latencies",
     "read_latency_curve",
     "read_lines",
     "read_results",
     "stream_writer",
+    "write_events",
     "write_latency",
     "write_mapping",
     "write_results",

@@ -70,3 +70,13 @@ class JdbcTable:
         if self.driver:
             options["driver"] = self.driver
         return options | self.properties
+
+
+def endpoint(text: str) -> KafkaTopic | FileFolder:
+    """``kafka://host:port[,host:port]/topic``, or else a folder path."""
+    if not text.startswith("kafka://"):
+        return FileFolder(text)
+    servers, _, topic = text.removeprefix("kafka://").partition("/")
+    if not servers or not topic:
+        raise ValueError(f"not a topic: {text!r}")
+    return KafkaTopic(servers, topic)

@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import DataStreamWriter, StreamingQuery
 
+from adstream.operators.records import event_records
 from adstream.sources.endpoints import FileFolder, JdbcTable, KafkaTopic
 
 Sink = KafkaTopic | FileFolder
@@ -39,6 +40,13 @@ def write_results(
     return None
 
 
+def write_events(
+    events: DataFrame, sink: Sink, checkpoint: str | None = None
+) -> StreamingQuery | None:
+    """Publish ad events as JSON records keyed by campaign, from a table or a stream."""
+    return write_results(event_records(events), sink, checkpoint)
+
+
 def write_mapping(mapping: DataFrame, sink: FileFolder | JdbcTable) -> None:
     """Replace the ad-to-campaign table. A JDBC table is emptied, not dropped."""
     writer = mapping.write.mode("overwrite")
