@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import threading
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql.streaming import StreamingQueryListener
 
 from adstream.operators.progress import progress_rows
@@ -24,10 +24,12 @@ class ProgressStore(StreamingQueryListener):
         self._every = every
         self._lock = threading.Lock()
         self._reports: list[str] = []
-        self._ended = threading.Event()
+        self._running: set[str] = set()
+        self._changed = threading.Condition()
 
     def onQueryStarted(self, event):
-        self._ended.clear()
+        with self._changed:
+            self._running.add(str(event.runId))
 
     def onQueryProgress(self, event):
         with self._lock:
@@ -40,8 +42,12 @@ class ProgressStore(StreamingQueryListener):
         pass
 
     def onQueryTerminated(self, event):
-        self.flush()
-        self._ended.set()
+        try:
+            self.flush()
+        finally:
+            with self._changed:
+                self._running.discard(str(event.runId))
+                self._changed.notify_all()
 
     def flush(self) -> None:
         """Write out the reports held so far."""
@@ -58,10 +64,11 @@ class ProgressStore(StreamingQueryListener):
             raise
 
     def wait(self, seconds: float = 60.0) -> bool:
-        """Wait until the reports of a query that ended have been written."""
-        return self._ended.wait(seconds)
+        """Wait until all queries seen have ended and their reports are written."""
+        with self._changed:
+            return self._changed.wait_for(lambda: not self._running, seconds)
 
-    def rows(self):
+    def rows(self) -> DataFrame:
         """The reports written so far, one row each."""
         lines = self._spark.read.schema("value string").text(self._path)
         return progress_rows(lines)

@@ -1,7 +1,5 @@
 """Streams: what is emitted, what is late, what a restart adds."""
 
-import threading
-
 import pytest
 from pyspark.sql import functions as F
 
@@ -162,6 +160,35 @@ def test_console(spark, feed, tmp_path):
     assert query.awaitTermination(60)
 
 
+def test_progress_store_of_two_queries(spark, feed, tmp_path):
+    feed.add(("1", "view", 1000)).add(("1", "view", 32000))
+    store = ProgressStore(spark, str(tmp_path / "progress"), every=1)
+    spark.streams.addListener(store)
+    out = [FileFolder(str(tmp_path / f"out{i}")) for i in range(2)]
+    queries = [
+        start(ctr_one_pass(feed.stream(spark)), out[i], str(tmp_path / f"cp{i}"))
+        for i in range(2)
+    ]
+    for query in queries:
+        query.processAllAvailable()
+        query.stop()
+    assert store.wait()
+    spark.streams.removeListener(store)
+    runs = {r["run_id"]: r["n"] for r in store.rows().groupBy("run_id").agg(
+        F.sum("input_rows").alias("n")
+    ).collect()}
+    assert runs == {str(q.runId): 2 for q in queries}
+
+
+def test_state_of_the_forms(spark, feed, tmp_path):
+    """One pass keeps one state per shuffle partition, the join form three."""
+    feed.add(*GOLDEN)
+    for form, operators in ((ctr_one_pass, 1), (ctr_smoothed, 1), (ctr_left_join, 3)):
+        out = FileFolder(str(tmp_path / form.__name__))
+        query = run_available(form(feed.stream(spark)), out, f"{out.path}-cp")
+        assert len(query.lastProgress.stateOperators) == operators
+
+
 def test_progress_store_keeps_reports_of_a_failed_write(spark, tmp_path):
     blocked = tmp_path / "file"
     blocked.write_text("")
@@ -170,4 +197,3 @@ def test_progress_store_keeps_reports_of_a_failed_write(spark, tmp_path):
     with pytest.raises(Exception):
         store.flush()
     assert store._reports == ["{}"]
-    assert isinstance(store._ended, threading.Event)
