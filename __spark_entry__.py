@@ -25,7 +25,7 @@ from adstream.sources import (
     write_mapping,
     write_results,
 )
-from adstream.streaming import ProgressStore, run_to_table
+from adstream.streaming import ProgressStore, run_available, run_to_table
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -180,14 +180,16 @@ def _stream_enriched(spark, sf):
 
 
 def _progress_rows(spark, sf):
-    store = ProgressStore(spark, shared_folder(spark, "progress"))
+    folder = shared_folder(spark, "progress_rows")
+    store = ProgressStore(spark, f"{folder}/reports")
     spark.streams.addListener(store)
     try:
-        run_to_table(ctr_one_pass(_event_stream(spark, sf)), spark, "progress_rows")
+        rates = ctr_one_pass(_event_stream(spark, sf))
+        run = run_available(rates, FileFolder(f"{folder}/rows"), f"{folder}/checkpoint")
         store.wait()
     finally:
         spark.streams.removeListener(store)
-    return store.rows().select("batch_id", "watermark", "input_rows", "rows_dropped")
+    return store.rows(run.runId).select("batch_id", "watermark", "input_rows", "rows_dropped")
 
 
 def _watermark_log(spark, sf):

@@ -33,18 +33,24 @@ FORMS = {"left-join": ctr_left_join, "one-pass": ctr_one_pass, "smoothed": ctr_s
 
 def ctr(spark: SparkSession, args: argparse.Namespace) -> None:
     """Windowed click-through rates from an event topic to a result topic."""
-    if args.progress:
-        spark.streams.addListener(ProgressStore(spark, args.progress))
     form = FORMS[args.form]
     rates = ctr_from_records(
         read_events(spark, endpoint(args.source)), form, args.window, args.delay
     )
     encode = smoothed_result_records if form is ctr_smoothed else result_records
     sink = endpoint(args.sink)
-    if args.available_now:
-        run_available(encode(rates), sink, args.checkpoint)
-    else:
-        start(encode(rates), sink, args.checkpoint, args.interval).awaitTermination()
+    store = ProgressStore(spark, args.progress) if args.progress else None
+    if store:
+        spark.streams.addListener(store)
+    try:
+        if args.available_now:
+            run_available(encode(rates), sink, args.checkpoint)
+        else:
+            start(encode(rates), sink, args.checkpoint, args.interval).awaitTermination()
+    finally:
+        if store:
+            store.wait()
+            spark.streams.removeListener(store)
 
 
 def measure(spark: SparkSession, args: argparse.Namespace) -> None:

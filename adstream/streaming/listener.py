@@ -5,6 +5,7 @@ from __future__ import annotations
 import threading
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQueryListener
 
 from adstream.operators.progress import progress_rows
@@ -68,7 +69,12 @@ class ProgressStore(StreamingQueryListener):
         with self._changed:
             return self._changed.wait_for(lambda: not self._running, seconds)
 
-    def rows(self) -> DataFrame:
-        """The reports written so far, one row each."""
+    def rows(self, run_id: str | None = None) -> DataFrame:
+        """The reports written so far, one row each; of one run, if given.
+
+        A listener hears all queries of its session, also the last reports of
+        queries that ended shortly before it was registered.
+        """
         lines = self._spark.read.schema("value string").text(self._path)
-        return progress_rows(lines)
+        rows = progress_rows(lines)
+        return rows if run_id is None else rows.filter(F.col("run_id") == str(run_id))

@@ -31,6 +31,8 @@ def test_from_events_to_latency(spark, tmp_path, topic, form, expected):
     main(stream, spark)
     written = spark.read.parquet(where["results"])
     assert written.count() == expected
+    main(["watermark-lag", where["log"], "--out", where["lag"]], spark)
+    assert spark.read.parquet(where["lag"]).count() >= 1
 
     # What a topic adds to the records.
     key = F.col("key") if "key" in written.columns else F.lit(None).cast("string")
