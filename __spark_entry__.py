@@ -16,7 +16,7 @@ from adstream.plans import (
     ctr_smoothed,
     reports,
 )
-from adstream.session import shared_folder
+from adstream.session import folder_bytes, shared_folder, shuffle_width, state_partitions
 from adstream.sources import (
     FileFolder,
     event_table,
@@ -58,6 +58,15 @@ def _envelope_stream(spark: SparkSession, sf: str) -> DataFrame:
     return event_table.envelopes(event_table.stream_table(spark, sf))
 
 
+def _width(spark: SparkSession, sf: str) -> int:
+    """Shuffle width for a stream over the events."""
+    return state_partitions(spark, folder_bytes(spark, event_table.path(sf)))
+
+
+def _run(spark: SparkSession, sf: str, stream: DataFrame, name: str) -> DataFrame:
+    return run_to_table(stream, spark, name, _width(spark, sf))
+
+
 def _mapping_table(spark: SparkSession, sf: str) -> DataFrame:
     """The mapping, written out and read back, so that its size is known."""
     sink = FileFolder(shared_folder(spark, "mapping"))
@@ -176,7 +185,7 @@ def _stream_enriched(spark, sf):
     plain = _event_stream(spark, sf).drop("campaign_id", events.PAYLOAD_CAMPAIGN)
     joined = mapping.enrich_campaign(plain, _mapping_table(spark, sf))
     picked = joined.select("event_id", "ad_id", "event_type", "campaign_id")
-    return run_to_table(picked, spark, "stream_enrich_campaign")
+    return _run(spark, sf, picked, "stream_enrich_campaign")
 
 
 def _progress_rows(spark, sf):
@@ -185,7 +194,8 @@ def _progress_rows(spark, sf):
     spark.streams.addListener(store)
     try:
         rates = ctr_one_pass(_event_stream(spark, sf))
-        run = run_available(rates, FileFolder(f"{folder}/rows"), f"{folder}/checkpoint")
+        with shuffle_width(spark, _width(spark, sf)):
+            run = run_available(rates, FileFolder(f"{folder}/rows"), f"{folder}/checkpoint")
         store.wait()
     finally:
         spark.streams.removeListener(store)
@@ -203,8 +213,8 @@ def _windowed_queries(suffix: str, length: str) -> dict[str, Query]:
         return lambda spark, sf: transform(_events(spark, sf), length)
 
     def stream_query(name, transform):
-        return lambda spark, sf: run_to_table(
-            transform(_event_stream(spark, sf), length), spark, name
+        return lambda spark, sf: _run(
+            spark, sf, transform(_event_stream(spark, sf), length), name
         )
 
     def flat_views(df, length):
@@ -236,7 +246,7 @@ def _ctr_from_records(form):
 def _stream_ctr_from_records(form, encode, name):
     def run(spark, sf):
         ctr = ctr_from_records(_envelope_stream(spark, sf), form, "1 hour")
-        return run_to_table(encode(ctr), spark, name)
+        return _run(spark, sf, encode(ctr), name)
 
     return run
 
@@ -255,9 +265,10 @@ def _all_queries() -> dict[str, Query]:
         "filter_views": lambda s, sf: events.filter_views(_events(s, sf)),
         "filter_clicks": lambda s, sf: events.filter_clicks(_events(s, sf)),
         "campaign_event_times": lambda s, sf: events.campaign_event_times(_events(s, sf)),
-        "stream_campaign_event_times": lambda s, sf: run_to_table(
-            events.campaign_event_times(counts.with_watermark(_event_stream(s, sf))),
+        "stream_campaign_event_times": lambda s, sf: _run(
             s,
+            sf,
+            events.campaign_event_times(counts.with_watermark(_event_stream(s, sf))),
             "stream_campaign_event_times",
         ),
         "ctr_left_join_from_records": _ctr_from_records(ctr_left_join),

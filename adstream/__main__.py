@@ -14,7 +14,7 @@ from adstream.operators import latency, progress
 from adstream.operators.counts import DELAY, WINDOW
 from adstream.operators.records import result_records, smoothed_result_records
 from adstream.plans import ctr_from_records, ctr_left_join, ctr_one_pass, ctr_smoothed
-from adstream.session import build_session
+from adstream.session import build_session, shuffle_width
 from adstream.sources import (
     FileFolder,
     endpoint,
@@ -43,10 +43,12 @@ def ctr(spark: SparkSession, args: argparse.Namespace) -> None:
     if store:
         spark.streams.addListener(store)
     try:
-        if args.available_now:
-            run_available(encode(rates), sink, args.checkpoint)
-        else:
-            start(encode(rates), sink, args.checkpoint, args.interval).awaitTermination()
+        with shuffle_width(spark, args.partitions):
+            if args.available_now:
+                run_available(encode(rates), sink, args.checkpoint)
+            else:
+                query = start(encode(rates), sink, args.checkpoint, args.interval)
+                query.awaitTermination()
     finally:
         if store:
             store.wait()
@@ -99,6 +101,7 @@ def arguments(argv: Sequence[str] | None) -> argparse.Namespace:
     job.add_argument("--window", default=WINDOW)
     job.add_argument("--delay", default=DELAY)
     job.add_argument("--interval", help="fixed trigger, such as '1 second'")
+    job.add_argument("--partitions", type=int, help="state partitions of a new checkpoint")
     job.add_argument("--available-now", action="store_true")
     job.add_argument("--progress", help="folder for progress reports")
 

@@ -4,8 +4,11 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
 
 from pyspark.sql import SparkSession
+from pyspark.sql import functions as F
 
 # Stateful queries keep (campaign, window) groups; RocksDB holds them off-heap
 # and on local disk, and uploads only changes at each commit. Join state format 3
@@ -61,3 +64,36 @@ def shared_folder(spark: SparkSession, name: str) -> str:
             raise ValueError("set spark.checkpoint.dir to a folder all executors share")
         base = tempfile.mkdtemp(prefix="adstream-")
     return f"{base.rstrip('/')}/{name}-{uuid.uuid4().hex}"
+
+
+def folder_bytes(spark: SparkSession, path: str) -> int:
+    """Size of the files at or below ``path``, from their listing."""
+    files = spark.read.format("binaryFile").option("recursiveFileLookup", True).load(path)
+    return files.agg(F.sum("length")).first()[0] or 0
+
+
+def state_partitions(
+    spark: SparkSession, input_bytes: int, partition_bytes: int = 64 << 20
+) -> int:
+    """Shuffle width for a stream over ``input_bytes``.
+
+    Adaptive execution merges small partitions of a batch query, but not those of
+    a stateful one, where each commits its state in every batch. So small inputs
+    get fewer partitions than the session has, and large ones the session's.
+    """
+    session = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    needed = -(-input_bytes // partition_bytes)
+    return min(session, max(needed, spark.sparkContext.defaultParallelism))
+
+
+@contextmanager
+def shuffle_width(spark: SparkSession, partitions: int | None) -> Iterator[None]:
+    """Use a number of shuffle partitions for the queries started inside."""
+    key = "spark.sql.shuffle.partitions"
+    before = spark.conf.get(key)
+    if partitions:
+        spark.conf.set(key, str(partitions))
+    try:
+        yield
+    finally:
+        spark.conf.set(key, before)

@@ -19,8 +19,12 @@ TABLE_SCHEMA = (
 FILE = "events.parquet"
 
 
+def path(folder: str) -> str:
+    return f"{folder.rstrip('/')}/{FILE}"
+
+
 def read_table(spark: SparkSession, folder: str) -> DataFrame:
-    return spark.read.schema(TABLE_SCHEMA).parquet(f"{folder}/{FILE}")
+    return spark.read.schema(TABLE_SCHEMA).parquet(path(folder))
 
 
 def stream_table(

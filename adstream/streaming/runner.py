@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql.streaming import StreamingQuery
 
-from adstream.session import shared_folder
+from adstream.session import shared_folder, shuffle_width
 from adstream.sources.endpoints import FileFolder
 from adstream.sources.writers import Sink, stream_writer
 
@@ -30,9 +30,12 @@ def run_available(df: DataFrame, sink: Sink, checkpoint: str) -> StreamingQuery:
     return query
 
 
-def run_to_table(df: DataFrame, spark: SparkSession, name: str) -> DataFrame:
+def run_to_table(
+    df: DataFrame, spark: SparkSession, name: str, partitions: int | None = None
+) -> DataFrame:
     """Run a stream over what is there into a new table, and read that table."""
     folder = shared_folder(spark, name)
     out = FileFolder(f"{folder}/rows")
-    run_available(df, out, f"{folder}/checkpoint")
+    with shuffle_width(spark, partitions):
+        run_available(df, out, f"{folder}/checkpoint")
     return spark.read.schema(df.schema).format(out.format).load(out.path)

@@ -147,3 +147,17 @@ def test_shared_folder_follows_the_session(spark):
 def test_session_settings(spark):
     assert spark.conf.get("spark.sql.session.timeZone") == "UTC"
     assert spark.conf.get("spark.sql.adaptive.skewJoin.enabled") == "true"
+
+
+def test_state_partitions_follow_the_input(spark, tmp_path):
+    (tmp_path / "a").mkdir()
+    (tmp_path / "a" / "x").write_bytes(b"0" * 1000)
+    (tmp_path / "y").write_bytes(b"0" * 24)
+    assert session.folder_bytes(spark, str(tmp_path)) == 1024
+    assert session.folder_bytes(spark, str(tmp_path / "y")) == 24
+    with session.shuffle_width(spark, 500):
+        assert session.state_partitions(spark, 1024) == 8
+        assert session.state_partitions(spark, 100 * (64 << 20)) == 100
+        assert session.state_partitions(spark, 100 << 40) == 500
+    assert spark.conf.get("spark.sql.shuffle.partitions") == "4"
+    assert session.state_partitions(spark, 1024) == 4
