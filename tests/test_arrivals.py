@@ -114,7 +114,11 @@ def _bursts(rows, seconds, threshold):
     deadline=None,
     suppress_health_check=[HealthCheck.function_scoped_fixture],
 )
-@given(rows=event_rows, seconds=st.sampled_from([1, 10]), threshold=st.sampled_from([0.0, 1.0, 2.0]))
+@given(
+    rows=event_rows,
+    seconds=st.sampled_from([1, 10]),
+    threshold=st.sampled_from([0.0, 1.0, 2.0]),
+)
 def test_bursts(spark, rows, seconds, threshold):
     df = arrivals.burst_profile(ad_events(spark, rows), f"{seconds} seconds", threshold)
     got = {r["phase"]: (r["buckets"], r["events"], r["events_per_second"]) for r in df.collect()}

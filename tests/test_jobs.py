@@ -27,7 +27,8 @@ def topic(spark, tmp_path):
 def test_from_events_to_latency(spark, tmp_path, topic, form, expected):
     where = {n: str(tmp_path / n) for n in ("results", "cp", "log", "topic2", "lat", "avg", "lag")}
     stream = ["ctr", "--source", topic, "--sink", where["results"], "--form", form]
-    stream += ["--checkpoint", where["cp"], "--available-now", "--partitions", "2", "--progress", where["log"]]
+    stream += ["--checkpoint", where["cp"], "--available-now"]
+    stream += ["--partitions", "2", "--progress", where["log"]]
     main(stream, spark)
     written = spark.read.parquet(where["results"])
     assert written.count() == expected
