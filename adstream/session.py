@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import tempfile
 import uuid
 from collections.abc import Iterator
 from contextlib import contextmanager
@@ -53,16 +52,12 @@ def build_session(
 def shared_folder(spark: SparkSession, name: str) -> str:
     """A new folder path that every executor can reach.
 
-    It lies below ``spark.checkpoint.dir``. A temporary folder of this machine is
-    used only when nothing is set and the session runs in local mode.
+    It lies below ``spark.checkpoint.dir``, or else below the warehouse, which a
+    cluster's executors share as well.
     """
     base = spark.conf.get("spark.checkpoint.dir", None)
-    if not base:
-        base = spark.sparkContext.getCheckpointDir()
-    if not base:
-        if not spark.sparkContext.master.startswith("local"):
-            raise ValueError("set spark.checkpoint.dir to a folder all executors share")
-        base = tempfile.mkdtemp(prefix="adstream-")
+    base = base or spark.sparkContext.getCheckpointDir()
+    base = base or f"{spark.conf.get('spark.sql.warehouse.dir').rstrip('/')}/_adstream"
     return f"{base.rstrip('/')}/{name}-{uuid.uuid4().hex}"
 
 
