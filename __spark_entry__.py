@@ -27,6 +27,12 @@ from adstream.sources import (
 )
 from adstream.streaming import ProgressStore, run_available, run_to_table
 
+try:
+    import corpus_pipeline
+    from adstream.llm import queries as llm_queries
+except ImportError:  # the training-data subpackage may be left out
+    corpus_pipeline = llm_queries = None
+
 Query = Callable[[SparkSession, str], DataFrame]
 
 WINDOWS = {"": "10 seconds", "_1h": "1 hour"}
@@ -342,7 +348,10 @@ def entry(spark: SparkSession) -> DataFrame:
 
 def queries() -> dict[str, Query]:
     """Every query: (spark, folder of the tables) to a DataFrame."""
-    return {name: _in_utc(query) for name, query in _all_queries().items()}
+    made = {name: _in_utc(query) for name, query in _all_queries().items()}
+    if llm_queries:
+        made |= llm_queries.queries() | {"pipeline": corpus_pipeline.run}
+    return made
 
 
 # --- the same answers in SQL -------------------------------------------------
@@ -544,4 +553,8 @@ def oracle_sql() -> dict[str, str]:
             f"ctr_smoothed{suffix}": _smoothed_sql(sec),
             f"stream_ctr_smoothed{suffix}": _smoothed_sql(sec, _closed(sec, "")),
         }
+    if llm_queries:
+        made |= llm_queries.oracle_sql()
+        if corpus_pipeline.ORACLE_SQL:
+            made["pipeline"] = corpus_pipeline.ORACLE_SQL
     return made
