@@ -5,19 +5,53 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
+from adstream.llm import warc
 from adstream.llm.ngram_join import Similarity, jaccard_components
-from adstream.llm.tables import table
+from adstream.llm.packing import pack
+from adstream.llm.tables import reachable, table
 
 Query = Callable[[SparkSession, str], DataFrame]
 
 
+def warc_bundles(spark: SparkSession, sf: str) -> DataFrame:
+    return warc.round_trip(table(spark, sf, "pages")).select(
+        "page_id", "payload_bytes", "payload_digest", "record_type", "refers_to"
+    )
+
+
+def packing(spark: SparkSession, sf: str) -> DataFrame:
+    return pack(table(spark, sf, "documents")).select(
+        "doc_id",
+        "start",
+        "length",
+        F.crc32("ids").alias("ids_crc32"),
+        "doc_tokens",
+        "sequence_id",
+        "offset",
+    )
+
+
 def ngram_jaccard(spark: SparkSession, sf: str) -> DataFrame:
     return jaccard_components(table(spark, sf, "documents"), Similarity(width=4, percent=85))
 
 
+def _with_package(query: Query) -> Query:
+    def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+        reachable(spark)
+        return query(spark, sf_dir)
+
+    return run
+
+
 def queries() -> dict[str, Query]:
-    return {"op6_ngram_jaccard": ngram_jaccard}
+    made = {
+        "op1_warc_bundles": warc_bundles,
+        "op4_packing": packing,
+        "op6_ngram_jaccard": ngram_jaccard,
+    }
+    return {name: _with_package(query) for name, query in made.items()}
 
 
 def oracle_sql() -> dict[str, str]:

@@ -2,13 +2,24 @@
 
 from __future__ import annotations
 
+from pathlib import Path
+
 import numpy as np
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from adstream.session import shared_folder
 
 
+def reachable(spark: SparkSession) -> None:
+    """Let Python workers that share this machine's files import this package.
+
+    Elsewhere it is submitted with the job, as a file of ``--py-files``.
+    """
+    root = str(Path(__file__).resolve().parents[2])
+    spark.sparkContext.environment.setdefault("PYTHONPATH", root)
+
+
 def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
     """A table of the given folder."""
     return spark.read.parquet(f"{folder.rstrip('/')}/{name}.parquet")
@@ -41,16 +52,18 @@ def split_join(left: DataFrame, right: DataFrame, on: list[str], how: str = "inn
 
 
 def membership(keys: DataFrame, column: str, bits: int = 1 << 23) -> np.ndarray:
-    """A Bloom filter with one hash over a column of longs, as packed words.
+    """A Bloom filter over a column of longs, two bits a key, as packed words.
 
-    It has ``bits`` bits whatever the number of keys, so the driver gets at most
-    ``bits / 64`` rows. With too many keys it lets more through, never less; an
-    exact join follows wherever it is used.
+    It has ``bits`` bits (a power of two) whatever the number of keys, so the driver
+    gets at most ``bits / 64`` rows. With too many keys it lets more through, never
+    less; an exact join follows wherever it is used.
     """
-    slot = F.pmod(F.col(column), F.lit(bits))
+    key = F.col(column)
+    slots = F.array(*[F.shiftright(key, k).bitwiseAND(F.lit(bits - 1)) for k in (0, 24)])
     words = (
-        keys.where(F.col(column).isNotNull())
-        .select((slot / 64).cast("int").alias("word"), (slot % 64).cast("int").alias("bit"))
+        keys.where(key.isNotNull())
+        .select(F.explode(slots).alias("slot"))
+        .select(F.shiftright("slot", 6).cast("int").alias("word"), F.expr("cast(slot & 63 as int)").alias("bit"))
         .groupBy("word")
         .agg(F.bit_or(F.expr("shiftleft(1L, bit)")).alias("mask"))
         .toPandas()
@@ -62,5 +75,27 @@ def membership(keys: DataFrame, column: str, bits: int = 1 << 23) -> np.ndarray:
 
 def passes(found: np.ndarray, keys: np.ndarray) -> np.ndarray:
     """Which int64 keys the filter lets through."""
-    slot = keys % (len(found) * 64)
-    return (found[slot >> 6] >> (slot & 63).astype(np.uint64)) & np.uint64(1) != 0
+    let = np.ones(len(keys), bool)
+    for k in (0, 24):
+        slot = (keys >> k) & (len(found) * 64 - 1)
+        let &= (found[slot >> 6] >> (slot & 63).astype(np.uint64)) & np.uint64(1) != 0
+    return let
+
+
+def running_totals(df: DataFrame, key: str, value: str, block: int = 4096) -> DataFrame:
+    """(key, value) with the sum of ``value`` over all smaller keys, one row a key.
+
+    Sums run inside blocks of keys; only one row a block is summed in one task.
+    """
+    of = F.floor(F.col(key) / block)
+    blocks = df.groupBy(of.alias("_block")).agg(F.sum(value).alias("_sum"))
+    earlier = Window.orderBy("_block").rowsBetween(Window.unboundedPreceding, -1)
+    blocks = blocks.select("_block", F.coalesce(F.sum("_sum").over(earlier), F.lit(0)).alias("_base"))
+    smaller = (
+        Window.partitionBy("_block").orderBy(key).rowsBetween(Window.unboundedPreceding, -1)
+    )
+    inside = df.withColumn("_block", of).withColumn(
+        "_inside", F.coalesce(F.sum(value).over(smaller), F.lit(0))
+    )
+    joined = split_join(inside, blocks, ["_block"])
+    return joined.select(key, (F.col("_inside") + F.col("_base")).alias(value))
