@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from adstream.llm import warc
+from adstream.llm import decontamination, secrets, segment_dedup, warc
 from adstream.llm.ngram_join import Similarity, jaccard_components
 from adstream.llm.packing import pack
 from adstream.llm.tables import reachable, table
@@ -21,6 +21,26 @@ def warc_bundles(spark: SparkSession, sf: str) -> DataFrame:
     )
 
 
+def decontaminate(spark: SparkSession, sf: str) -> DataFrame:
+    return decontamination.contaminated(
+        table(spark, sf, "documents"), table(spark, sf, "benchmark")
+    )
+
+
+def secret_scan(spark: SparkSession, sf: str) -> DataFrame:
+    found = secrets.scan(table(spark, sf, "documents"))
+    return found.select(
+        "doc_id",
+        *[f"n_{kind}" for kind in secrets.BASE],
+        F.sha2(secrets.written(F.col("base")), 256).alias("base_sha256"),
+        secrets.written(F.col("spans")).alias("spans"),
+    )
+
+
+def segments(spark: SparkSession, sf: str) -> DataFrame:
+    return segment_dedup.repeated_spans(table(spark, sf, "documents"))
+
+
 def packing(spark: SparkSession, sf: str) -> DataFrame:
     return pack(table(spark, sf, "documents")).select(
         "doc_id",
@@ -48,7 +68,10 @@ def _with_package(query: Query) -> Query:
 def queries() -> dict[str, Query]:
     made = {
         "op1_warc_bundles": warc_bundles,
+        "op2_decontamination": decontaminate,
+        "op3_secret_scan": secret_scan,
         "op4_packing": packing,
+        "op5_segment_dedup": segments,
         "op6_ngram_jaccard": ngram_jaccard,
     }
     return {name: _with_package(query) for name, query in made.items()}
