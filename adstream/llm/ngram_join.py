@@ -1,7 +1,7 @@
 """N-gram Jaccard join by grouped prefixes, exact, and its components.
 
-Shingles have one order: those that many documents share come last, the rest by
-hash. Two sets whose similarity reaches t share a shingle among the first
+Shingles have one order: the more documents share one, the later it comes; equals
+go by hash. Two sets whose similarity reaches t share a shingle among the first
 size - ceil(t * size) + 1 of each. Documents with one set are collapsed first, then
 sets of one size and prefix into a group. Groups are paired by shared prefix
 shingles, filtered by size and by how many they share, and the sets of the pairs
@@ -28,7 +28,7 @@ from adstream.llm.tables import membership, passes, split_join, stored
 from adstream.llm.words import ascii_fold, mixed, sets
 
 LOCAL_REPEATS = 3
-COMMON_SHARE = 2048
+SLOTS = 1 << 22
 
 
 @dataclass(frozen=True)
@@ -50,13 +50,14 @@ def _long(column: str) -> Column:
     return F.col(column).cast("bigint")
 
 
-def common_shingles(docs: DataFrame, width: int) -> np.ndarray:
-    """Sorted hashes of shingles in more than one document of COMMON_SHARE.
+def common_levels(docs: DataFrame, width: int) -> np.ndarray:
+    """How common a shingle is, by the low bits of its hash: a table of SLOTS bytes.
 
-    Batches of all documents are counted, and what is repeated within one of them
-    is added up. Such a shingle has COMMON_SHARE times the mean set size in number
-    at most, however many documents there are. This decides the order of shingles
-    only, so a shingle missed here costs time and loses nothing.
+    Batches of all documents are counted, and what is repeated within one of them is
+    added up. A slot has the binary logarithm of its most frequent shingle's count. The
+    least frequent are left out where more than a quarter of the slots would be taken,
+    so the table tells the most frequent ones apart at any number of documents. It
+    decides the order of shingles only: a wrong level costs time and loses nothing.
     """
 
     def counted(batches):
@@ -71,12 +72,24 @@ def common_shingles(docs: DataFrame, width: int) -> np.ndarray:
 
     made = docs.select("text").mapInArrow(counted, "shingle bigint, times bigint")
     total = made.groupBy("shingle").agg(F.sum("times").alias("times"))
-    floor = F.greatest(F.lit(LOCAL_REPEATS), F.lit(docs.count() // COMMON_SHARE))
-    found = total.where(F.col("times") >= floor).select("shingle").toPandas()
-    return np.sort(found["shingle"].to_numpy(np.int64).view(np.uint64))
-
-
-def profiles(docs: DataFrame, like: Similarity, common: np.ndarray) -> DataFrame:
+    slot = F.col("shingle").bitwiseAND(F.lit(SLOTS - 1)).cast("int")
+    level = F.floor(F.log2("times")).cast("int")
+    taken = total.groupBy(slot.alias("slot")).agg(F.max(level).alias("level"))
+    taken = stored(taken, "common_levels")
+    sizes = taken.groupBy("level").count().orderBy(F.desc("level")).collect()
+    least, room = 1, SLOTS // 4
+    for row in sizes:
+        room -= row["count"]
+        if room < 0:
+            least = row["level"] + 1
+            break
+    rows = taken.where(F.col("level") >= least).toPandas()
+    levels = np.zeros(SLOTS, np.uint8)
+    levels[rows["slot"].to_numpy(np.int64)] = rows["level"].to_numpy(np.int64)
+    return levels
+
+
+def profiles(docs: DataFrame, like: Similarity, levels: np.ndarray) -> DataFrame:
     """Size, digests of the set and of its prefix, and the prefix, of each document."""
 
     def profiled(batches):
@@ -86,11 +99,8 @@ def profiles(docs: DataFrame, like: Similarity, common: np.ndarray) -> DataFrame
                 size = len(s)
                 head = s[:0]
                 if size:
-                    at = np.searchsorted(common, s)
-                    late = np.zeros(size, bool)
-                    inside = at < len(common)
-                    late[inside] = common[at[inside]] == s[inside]
-                    head = np.concatenate([s[~late], s[late]])[: size - like.least(size) + 1]
+                    level = levels[s & np.uint64(SLOTS - 1)]
+                    head = s[level.argsort(kind="stable")[: size - like.least(size) + 1]]
                 sums = [np.add.reduce(mixed(x + np.uint64(k)), dtype=np.uint64) for x in (s, head) for k in (1, 2)]
                 for column, x in zip(rows, [size, *np.array(sums, np.uint64).view(np.int64), head.view(np.int64)], strict=True):
                     column.append(x)
@@ -177,7 +187,7 @@ def jaccard_components(docs: DataFrame, like: Similarity = Similarity()) -> Data
     and further columns change nothing. No rows give no rows.
     """
     percent = like.percent
-    seen = stored(profiles(docs, like, common_shingles(docs, like.width)), "profiles")
+    seen = stored(profiles(docs, like, common_levels(docs, like.width)), "profiles")
     known = seen.where("size > 0 and doc_id is not null")
     whole = known.groupBy("size", "s1", "s2").agg(
         F.min("doc_id").alias("set_id"),

@@ -7,7 +7,16 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from adstream.llm import decontamination, secrets, segment_dedup, warc
+from adstream.llm import (
+    decontamination,
+    language_id,
+    licences,
+    multi_index,
+    secret_scan,
+    segment_dedup,
+    toxicity,
+    warc,
+)
 from adstream.llm.ngram_join import Similarity, jaccard_components
 from adstream.llm.packing import pack
 from adstream.llm.tables import reachable, table
@@ -27,13 +36,13 @@ def decontaminate(spark: SparkSession, sf: str) -> DataFrame:
     )
 
 
-def secret_scan(spark: SparkSession, sf: str) -> DataFrame:
-    found = secrets.scan(table(spark, sf, "documents"))
+def scan_secrets(spark: SparkSession, sf: str) -> DataFrame:
+    found = secret_scan.scan(table(spark, sf, "documents"))
     return found.select(
         "doc_id",
-        *[f"n_{kind}" for kind in secrets.BASE],
-        F.sha2(secrets.written(F.col("base")), 256).alias("base_sha256"),
-        secrets.written(F.col("spans")).alias("spans"),
+        *[f"n_{kind}" for kind in secret_scan.BASE],
+        F.sha2(secret_scan.written(F.col("base")), 256).alias("base_sha256"),
+        secret_scan.written(F.col("spans")).alias("spans"),
     )
 
 
@@ -57,6 +66,39 @@ def ngram_jaccard(spark: SparkSession, sf: str) -> DataFrame:
     return jaccard_components(table(spark, sf, "documents"), Similarity(width=4, percent=85))
 
 
+def toxic_scores(spark: SparkSession, sf: str) -> DataFrame:
+    docs, held = table(spark, sf, "documents"), toxicity.held_out(F.col("doc_id"), 5, 0)
+    model = toxicity.fit(docs, table(spark, sf, "labels"), ~held)
+    return toxicity.scored(docs, model).select(
+        "doc_id",
+        held.alias("held_out"),
+        F.col("toxicity").alias("score"),
+        (F.col("toxicity") >= 0.5).cast("int").alias("predicted"),
+    )
+
+
+def languages(spark: SparkSession, sf: str) -> DataFrame:
+    docs, held = table(spark, sf, "documents"), toxicity.held_out(F.col("doc_id"), 3, 1)
+    model = language_id.fit(docs, ~held)
+    return language_id.predicted(docs, model).select(
+        "doc_id",
+        held.alias("held_out"),
+        F.col("language").alias("lang_pred"),
+        F.col("language_score").alias("score"),
+    )
+
+
+def licence_scan(spark: SparkSession, sf: str) -> DataFrame:
+    """Documents as files of their source and language: source/lang/doc_id."""
+    path = F.concat_ws("/", "source", "lang", F.coalesce(F.col("doc_id").cast("string"), F.lit("")))
+    files = table(spark, sf, "documents").select(path.alias("path"), "text")
+    return licences.scan(files)
+
+
+def embeddings(spark: SparkSession, sf: str) -> DataFrame:
+    return multi_index.near_duplicates(table(spark, sf, "embeddings"))
+
+
 def _with_package(query: Query) -> Query:
     def run(spark: SparkSession, sf_dir: str) -> DataFrame:
         reachable(spark)
@@ -69,10 +111,14 @@ def queries() -> dict[str, Query]:
     made = {
         "op1_warc_bundles": warc_bundles,
         "op2_decontamination": decontaminate,
-        "op3_secret_scan": secret_scan,
+        "op3_secret_scan": scan_secrets,
         "op4_packing": packing,
         "op5_segment_dedup": segments,
         "op6_ngram_jaccard": ngram_jaccard,
+        "op7_toxicity": toxic_scores,
+        "op8_language_id": languages,
+        "op9_licences": licence_scan,
+        "op10_multi_index": embeddings,
     }
     return {name: _with_package(query) for name, query in made.items()}
 
