@@ -18,7 +18,7 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from adstream.llm.components import components
@@ -37,7 +37,7 @@ class Index:
     cosine: float = 0.95
     recall: float = 0.995
     sample: int = 4096
-    queries: int = 512
+    queries: int = 2048
     per_cell: int = 64
     codewords: int = 512
     rounds: int = 12
@@ -149,24 +149,27 @@ def _fit(reps: DataFrame, size: int, how: Index) -> Grid:
     asked = _unit(np.frombuffer(b"".join(asked["vector"]), np.float64).reshape(-1, size))
 
     def ranked(batches):
-        every = len(grid.books[0]) * len(grid.books[1])
         one, other = grid.near(asked)
-        place = np.empty((len(asked), every), np.int32)
-        total = (one[:, :, None] + other[:, None, :]).reshape(len(asked), every)
-        rows = np.arange(len(asked))[:, None]
-        place[rows, total.argsort(axis=1, kind="stable")] = np.arange(every)
         for batch in batches:
             ids = batch.column(0).to_numpy()
             unit = _unit(_matrix(batch.column(1), size))
             q, v = np.nonzero(asked @ unit.T >= how.cosine)
             keep = asked_ids[q] != ids[v]
-            value, times = np.unique(place[q, grid.home(unit)[v]][keep] + 1, return_counts=True)
-            yield pa.RecordBatch.from_arrays([pa.array(value.astype(np.int64)), pa.array(times)], ["cells", "links"])
-
-    seen = reps.select("rep", "vector").mapInArrow(ranked, "cells bigint, links bigint")
-    seen = seen.groupBy("cells").agg(F.sum("links").alias("links")).toPandas().sort_values("cells")
+            q, cell = q[keep], grid.home(unit)[v[keep]]
+            place = np.empty(len(q), np.int64)
+            for k in np.unique(q):
+                total = (one[k][:, None] + other[k][None]).ravel()
+                mine = q == k
+                place[mine] = np.searchsorted(np.sort(total), total[cell[mine]], side="right")
+            yield pa.RecordBatch.from_arrays([pa.array(q.astype(np.int64)), pa.array(place)], ["asked", "cells"])
+
+    seen = reps.select("rep", "vector").mapInArrow(ranked, "asked bigint, cells bigint")
+    seen = seen.groupBy("asked", "cells").agg(F.count("*").alias("links"))
+    share = F.col("links") / F.sum("links").over(Window.partitionBy("asked"))
+    seen = seen.select("cells", share.alias("share")).groupBy("cells").agg(F.sum("share").alias("share"))
+    seen = seen.toPandas().sort_values("cells")
     if len(seen):
-        reached = seen["links"].cumsum() >= how.recall * seen["links"].sum()
+        reached = seen["share"].cumsum() >= how.recall * seen["share"].sum() - 1e-9
         grid.cells = int(seen["cells"][reached].iloc[0])
     return grid
 

@@ -292,3 +292,18 @@ def jaccard_components(docs: DataFrame, like: Similarity = Similarity()) -> Data
         ["doc_id"],
         "left",
     ).select("doc_id", "n_shingles", F.coalesce("component", "doc_id").alias("component_id"))
+
+
+def representatives(docs: DataFrame, like: Similarity = Similarity()) -> DataFrame:
+    """One document of each component, that with the smallest doc_id, all columns kept.
+
+    Documents without shingles, and those with a null doc_id, all stay. Of rows with
+    one doc_id and one text a single one stays.
+    """
+    found = jaccard_components(docs, like)
+    kept = found.where("doc_id = component_id").select(F.col("doc_id").alias("_kept_id")).distinct()
+    keyed = docs.withColumn("_kept_id", F.col("doc_id").cast("bigint"))
+    one = split_join(keyed, kept, ["_kept_id"], "left_semi")
+    one = one.withColumn("_text_key", F.xxhash64("text")).dropDuplicates(["_kept_id", "_text_key"])
+    nameless = docs.where(F.col("doc_id").isNull())
+    return one.select(docs.columns).unionByName(nameless)

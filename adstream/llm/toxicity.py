@@ -28,6 +28,7 @@ from adstream.llm.words import ascii_fold
 
 GRAM = 5
 SEGMENT = 32
+FEATURES = 8
 
 
 @dataclass(frozen=True)
@@ -37,8 +38,8 @@ class Fit:
     toxic: int = 2000
     ordinary: int = 4000
     dictionary: int = 4096
-    window: int = 64
-    step: int = 32
+    window: int = 96
+    step: int = 48
     ratio: float = 30.0
     common: float = 0.02
 
@@ -180,7 +181,7 @@ def fit(docs: DataFrame, labels: DataFrame, learn: Column, how: Fit = Fit()) ->
     toxic, ordinary = ([_folded(r.text) for r in side] for side in sides)
     if not toxic or not ordinary:
         share = 0.5 if not toxic and not ordinary else 0.001 if not toxic else 0.999
-        weights = np.zeros(7)
+        weights = np.zeros(FEATURES)
         weights[0] = np.log(share / (1 - share))
         return Model(b"", b"", weights, how)
     in_toxic, in_ordinary = _documents_with(toxic), _documents_with(ordinary)
@@ -188,7 +189,7 @@ def fit(docs: DataFrame, labels: DataFrame, learn: Column, how: Fit = Fit()) ->
     base = _cover(ordinary, in_ordinary[0][often], in_ordinary[1][often].astype(float), how.dictionary)
     gram, ratio = _telling(in_toxic, in_ordinary, len(toxic), len(ordinary), how.ratio)
     special = _cover(toxic, gram, ratio, how.dictionary)
-    model = Model(base, base + special, np.zeros(7), how)
+    model = Model(base, base + special, np.zeros(FEATURES), how)
     coders = _coder(model.ordinary).compress, _coder(model.toxic).compress
     features = [_features(r.text, *coders, how) for side in sides for r in side]
     model.weights = _calibrated(np.array(features), np.repeat([1.0, 0.0], [len(toxic), len(ordinary)]))
@@ -205,7 +206,7 @@ def scored(docs: DataFrame, model: Model) -> DataFrame:
     @F.pandas_udf("double")
     def toxicity(texts):
         coders = _coder(model.ordinary).compress, _coder(model.toxic).compress
-        made = np.array([_features(t, *coders, model.fit) for t in texts]).reshape(-1, 7)
+        made = np.array([_features(t, *coders, model.fit) for t in texts]).reshape(-1, FEATURES)
         return pd.Series(1 / (1 + np.exp(-np.clip(made @ model.weights, -30, 30))))
 
     return docs.withColumn("toxicity", toxicity(F.col("text").cast("string")))
