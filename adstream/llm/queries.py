@@ -19,6 +19,7 @@ from adstream.llm import (
 )
 from adstream.llm.ngram_join import Similarity, jaccard_components
 from adstream.llm.packing import pack
+from adstream.llm.sql import ORACLES
 from adstream.llm.tables import reachable, table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -124,4 +125,4 @@ def queries() -> dict[str, Query]:
 
 
 def oracle_sql() -> dict[str, str]:
-    return {}
+    return dict(ORACLES)
