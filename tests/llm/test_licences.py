@@ -1,0 +1,49 @@
+from adstream.llm import licences
+
+from .conftest import LONG
+
+MIT, APACHE = licences.TEMPLATES["mit"], licences.TEMPLATES["apache-2.0"]
+
+
+def scanned(spark, rows):
+    files = spark.createDataFrame([(p, t, 1) for p, t in rows], "path string, text string, word int")
+    return sorted(
+        ((r.path, r.licence, r.origin, r.licence_path) for r in licences.scan(files).collect()), key=str
+    )
+
+
+def test_own_and_inherited_licences(spark):
+    rows = [
+        ("a/LICENSE", MIT),
+        ("a/b/x.txt", "nothing here"),
+        ("a/b/c/LICENSE", APACHE),
+        ("a/b/c/d/y.txt", None),
+        ("a/z.txt", LONG + "\n" + APACHE.lower()),
+        ("q/r.txt", ""),
+        ("q/s.txt", "The licence was not what we came for."),
+        (None, "text"),
+        ("a/b/x.txt", "nothing here"),
+    ]
+    assert scanned(spark, rows) == sorted(
+        [
+            ("a/LICENSE", "mit", "own", "a/LICENSE"),
+            ("a/b/x.txt", "mit", "inherited", "a/LICENSE"),
+            ("a/b/c/LICENSE", "apache-2.0", "own", "a/b/c/LICENSE"),
+            ("a/b/c/d/y.txt", "apache-2.0", "inherited", "a/b/c/LICENSE"),
+            ("a/z.txt", "apache-2.0", "own", "a/z.txt"),
+            ("q/r.txt", None, "none", None),
+            ("q/s.txt", None, "none", None),
+            (None, None, "none", None),
+            ("a/b/x.txt", "mit", "inherited", "a/LICENSE"),
+        ],
+        key=str,
+    )
+
+
+def test_root_licence_reaches_everything_and_ties_go_by_path(spark):
+    rows = [("LICENSE", MIT), ("COPYING", MIT), ("deep/er/x", "t")]
+    assert ("deep/er/x", "mit", "inherited", "COPYING") in scanned(spark, rows)
+
+
+def test_no_files(spark):
+    assert scanned(spark, []) == []
