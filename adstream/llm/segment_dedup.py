@@ -21,6 +21,7 @@ from adstream.llm.words import ascii_fold, chunks, find_words, mixed
 
 NEWLINE = 0x0A
 STOPS = b".!?"
+PLACES = 1 << 31
 
 
 @dataclass(frozen=True)
@@ -89,24 +90,24 @@ def repeated_spans(docs: DataFrame, how: Repeats = Repeats()) -> DataFrame:
     one document. Offsets are those of the original text. No rows give no rows.
     """
     units = stored(unit_table(docs), "units")
-    here = F.struct("doc_id", "start")
+    # The rank of an occurrence, its document before its place, as one number.
+    rank = F.col("doc_id").cast("decimal(20,0)") * F.lit(PLACES).cast("decimal(10,0)") + F.col("start")
     earliest = (
         units.groupBy("h1", "h2")
-        .agg(F.min("doc_id").alias("kept_doc_id"), F.count("*").alias("times"))
+        .agg(F.min(rank).alias("first"), F.count("*").alias("times"))
         .where("times > 1")
         .drop("times")
     )
-    again = split_join(units, earliest, ["h1", "h2"])
-    first_start = (
-        again.where("doc_id = kept_doc_id")
-        .groupBy("h1", "h2")
-        .agg(F.min("start").alias("kept_start"))
+    again = split_join(units, earliest, ["h1", "h2"]).where(rank > F.col("first"))
+    kept_start = F.pmod("first", F.lit(PLACES).cast("decimal(10,0)")).cast("int")
+    kept_doc = (F.col("first") - F.col("kept_start")) / F.lit(PLACES).cast("decimal(10,0)")
+    again = (
+        again.withColumn("kept_start", kept_start)
+        .withColumn("kept_doc_id", kept_doc.cast("bigint"))
+        .select("doc_id", "unit", "start", "end", "words", "kept_doc_id", "kept_start")
+        .repartition("doc_id")
+        .distinct()
     )
-    again = split_join(again, first_start, ["h1", "h2"])
-    kept = F.struct(F.col("kept_doc_id").alias("doc_id"), F.col("kept_start").alias("start"))
-    again = again.where(here > kept).select(
-        "doc_id", "unit", "start", "end", "words", "kept_doc_id", "kept_start"
-    ).distinct()
     order = Window.partitionBy("doc_id").orderBy("unit", "start")
     again = again.withColumn("island", F.col("unit") - F.dense_rank().over(order))
     return (
