@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import time
 from collections.abc import Callable
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -16,7 +17,8 @@ from adstream.plans import (
     ctr_smoothed,
     reports,
 )
-from adstream.session import folder_bytes, shared_folder, shuffle_width, state_partitions
+from adstream.schemas import AD_EVENT
+from adstream.session import own_session, shared_folder
 from adstream.sources import (
     FileFolder,
     event_table,
@@ -38,8 +40,6 @@ Query = Callable[[SparkSession, str], DataFrame]
 WINDOWS = {"": "10 seconds", "_1h": "1 hour"}
 SECONDS = {"": 10, "_1h": 3600}
 
-RECORD_FIELDS = ["user_id", "page_id", "ad_id", "event_type", "event_time", "campaign_id"]
-
 
 # --- inputs ------------------------------------------------------------------
 
@@ -64,17 +64,12 @@ def _envelope_stream(spark: SparkSession, sf: str) -> DataFrame:
     return event_table.envelopes(event_table.stream_table(spark, sf))
 
 
-def _width(spark: SparkSession, sf: str) -> int:
-    """Shuffle width for a stream over the events."""
-    return state_partitions(spark, folder_bytes(spark, event_table.path(sf)))
-
-
-def _run(spark: SparkSession, sf: str, stream: DataFrame, name: str) -> DataFrame:
-    return run_to_table(stream, spark, name, _width(spark, sf))
+def _run(spark: SparkSession, stream: DataFrame, name: str) -> DataFrame:
+    return run_to_table(stream, spark, name)
 
 
 def _mapping_table(spark: SparkSession, sf: str) -> DataFrame:
-    """The mapping, written out and read back, so that its size is known."""
+    """The mapping, written out and read back."""
     sink = FileFolder(shared_folder(spark, "mapping"))
     write_mapping(event_table.mapping(_table(spark, sf)), sink)
     return spark.read.parquet(sink.path)
@@ -123,27 +118,28 @@ def _hourly_progress(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def _event_records(spark, sf):
-    keyed = records.event_records(_events(spark, sf), RECORD_FIELDS)
-    return keyed.select(F.col("key").cast("string"), F.col("value").cast("string"))
+    """Records with all fields, decoded, as engines print a DOUBLE differently."""
+    keyed = records.event_records(_events(spark, sf))
+    text = F.col("value").cast("string")
+    return keyed.select(F.col("key").cast("string"), F.inline(F.array(F.from_json(text, AD_EVENT))))
 
 
-def _drop_unparsed(spark, sf):
-    """Records of kind error are cut short, and so cannot be parsed."""
+def _spoiled(spark, sf):
+    """Records of which those of kind error have a character too many to be parsed."""
     text = F.col("value").cast("string")
-    broken = F.when(text.contains('"error"'), F.substring(text, 1, 20)).otherwise(text)
-    cut = _envelopes(spark, sf).withColumn("value", broken.cast("binary"))
-    return events.drop_unparsed(events.parse_ad_events(cut)).select(
-        "campaign_id", "user_id", "event_type", "event_time"
-    )
+    broken = F.when(text.contains('"error"'), F.concat(F.lit("#"), text)).otherwise(text)
+    return _envelopes(spark, sf).withColumn("value", broken.cast("binary"))
+
+
+def _drop_unparsed(spark, sf):
+    parsed = events.parse_ad_events(_spoiled(spark, sf))
+    return events.drop_unparsed(parsed).drop(events.CORRUPT)
 
 
 def _corrupt_records(spark, sf):
     """How many records of each campaign did not parse."""
-    text = F.col("value").cast("string")
-    broken = F.when(text.contains('"error"'), F.substring(text, 1, 20)).otherwise(text)
-    cut = _envelopes(spark, sf).withColumn("value", broken.cast("binary"))
     return (
-        events.parse_ad_events(cut)
+        events.parse_ad_events(_spoiled(spark, sf))
         .groupBy("campaign_id")
         .agg(
             F.count("*").alias("records"),
@@ -173,9 +169,29 @@ def _window_latency_smoothed(spark, sf):
     return latency.window_latency_smoothed(results)
 
 
+def _window_latency_repeated(spark, sf):
+    """Each record twice, the second time an hour later, and a second run with other times."""
+    once = _appended(spark, sf)
+    late = F.col("timestamp") + F.expr("INTERVAL 1 HOUR")
+    again = once.withColumn("timestamp", late)
+    ctr = ctr_left_join(_events(spark, sf), "1 hour")
+    shifted = ctr.withColumn("max_kafka_ts", F.col("max_kafka_ts") - F.expr("INTERVAL 1 SECOND"))
+    other = reports.appended_results(shifted, _append_ts(F.col("window_end")))
+    both = once.unionByName(again).unionByName(other)
+    return latency.window_latency(records.parse_results(both))
+
+
+def _latency_average(spark, sf):
+    """Two runs, the second over half the windows' campaigns."""
+    first = _window_latency(spark, sf)
+    runs = {"run-1": first, "run-2": first.where("campaign_id < '5'")}
+    return reports.average_of_runs(spark, runs)
+
+
 def _latency_curve(spark, sf):
+    """Throughput is a window's events per second, in whole events."""
     points = _window_latency(spark, sf).select(
-        (F.col("views") + F.col("clicks")).cast("int").alias("throughput"),
+        F.expr("(views + clicks) div 3600").cast("int").alias("throughput"),
         F.col("latency_ms").cast("double").alias("latency"),
     )
     return reports.curve_of_runs(spark, points)
@@ -183,29 +199,92 @@ def _latency_curve(spark, sf):
 
 def _enriched(spark, sf, salts=1):
     plain = _events(spark, sf).drop("campaign_id", events.PAYLOAD_CAMPAIGN)
-    joined = mapping.enrich_campaign(plain, _mapping_table(spark, sf), salts)
+    joined = mapping.enrich_campaign(plain, event_table.mapping(_table(spark, sf)), salts)
     return joined.select("event_id", "ad_id", "event_type", "campaign_id")
 
 
-def _stream_enriched(spark, sf):
+def _stream_enriched(spark, sf, salts=1):
+    """Salted, the mapping is not broadcast, so that the salt does its work."""
+    if salts > 1:
+        spark = own_session(spark, autoBroadcastJoinThreshold="-1")
     plain = _event_stream(spark, sf).drop("campaign_id", events.PAYLOAD_CAMPAIGN)
-    joined = mapping.enrich_campaign(plain, _mapping_table(spark, sf))
+    joined = mapping.enrich_campaign(plain, _mapping_table(spark, sf), salts)
     picked = joined.select("event_id", "ad_id", "event_type", "campaign_id")
-    return _run(spark, sf, picked, "stream_enrich_campaign")
+    return _run(spark, picked, "stream_enrich_campaign")
 
 
-def _progress_rows(spark, sf):
-    folder = shared_folder(spark, "progress_rows")
+def _reported(spark, name, stream, **bounds):
+    """The progress rows of a run of the stream over what is there."""
+    folder = shared_folder(spark, name)
     store = ProgressStore(spark, f"{folder}/reports")
     spark.streams.addListener(store)
     try:
-        rates = ctr_one_pass(_event_stream(spark, sf))
-        with shuffle_width(spark, _width(spark, sf)):
-            run = run_available(rates, FileFolder(f"{folder}/rows"), f"{folder}/checkpoint")
+        run = run_available(stream, FileFolder(f"{folder}/rows"), f"{folder}/checkpoint")
         store.wait()
     finally:
         spark.streams.removeListener(store)
-    return store.rows(run.runId).select("batch_id", "watermark", "input_rows", "rows_dropped")
+    return store.rows(run.runId)
+
+
+def _progress_rows(spark, sf):
+    rows = _reported(spark, "progress_rows", ctr_one_pass(_event_stream(spark, sf)))
+    return rows.select("batch_id", "watermark", "input_rows", "rows_dropped")
+
+
+def _in_order(spark, sf, folder, late=None):
+    """The whole table as a folder of part files in time order, for several batches.
+
+    Rows for which ``late`` holds come in a last file of their own, behind one row that
+    is a day ahead of all others.
+    """
+    table = _table(spark, sf)
+    parts = table.sort("ts") if late is None else table.where(~late).sort("ts")
+    target = f"{folder}/{event_table.FILE}"
+    parts.write.parquet(target)
+    if late is not None:
+        last = F.max("ts") + F.expr("INTERVAL 1 DAY")
+        ahead = table.agg(last.alias("ts")).select(
+            F.lit(-1).cast("bigint").alias("event_id"), "ts", F.lit(0).cast("bigint").alias("user_id"),
+            F.lit("view").alias("event_type"), F.lit(0.0).alias("value"), F.lit("{}").alias("props"),
+        )
+        ahead.coalesce(1).write.mode("append").parquet(target)
+        time.sleep(1.1)  # the stream takes files by the second of their change
+        table.where(late).coalesce(1).write.mode("append").parquet(target)
+
+
+def _stream_restart(spark, sf):
+    """The first half of the table, a stop, and all of it on the same checkpoint."""
+    folder = shared_folder(spark, "stream_restart")
+    out = FileFolder(f"{folder}/rows")
+    table = _table(spark, sf)
+    half = table.select(F.percentile_approx("ts", 0.5)).first()[0]
+    for part in (table.where(F.col("ts") <= half), table.where(F.col("ts") > half)):
+        part.write.mode("append").parquet(f"{folder}/{event_table.FILE}")
+        rates = ctr_one_pass(_event_stream(spark, folder), "1 hour")
+        run_available(rates, out, f"{folder}/checkpoint")
+    return spark.read.schema(rates.schema).parquet(out.path)
+
+
+def _stream_late_rows(spark, sf):
+    """Input and dropped rows where the events of three users come a day late.
+
+    Spark counts what it drops after the partial aggregate: a row a window and campaign.
+    """
+    folder = shared_folder(spark, "stream_late_rows")
+    _in_order(spark, sf, folder, late=F.col("user_id") < 3)
+    stream = event_table.ad_events(event_table.stream_table(spark, folder, files_per_batch=1))
+    rows = _reported(spark, "late_reports", ctr_one_pass(stream))
+    return rows.agg(
+        F.sum("input_rows").alias("input_rows"), F.sum("rows_dropped").alias("rows_dropped")
+    )
+
+
+def _arrival_gaps(spark, sf):
+    """Rounded, as the two engines sum in different orders."""
+    gaps = arrivals.arrival_gaps(_events(spark, sf))
+    return gaps.select(
+        "campaign_id", "gaps", *[F.round(c, 9).alias(c) for c in gaps.columns if c not in ("campaign_id", "gaps")]
+    )
 
 
 def _watermark_log(spark, sf):
@@ -220,7 +299,7 @@ def _windowed_queries(suffix: str, length: str) -> dict[str, Query]:
 
     def stream_query(name, transform):
         return lambda spark, sf: _run(
-            spark, sf, transform(_event_stream(spark, sf), length), name
+            spark, transform(_event_stream(spark, sf), length), name
         )
 
     def flat_views(df, length):
@@ -252,7 +331,7 @@ def _ctr_from_records(form):
 def _stream_ctr_from_records(form, encode, name):
     def run(spark, sf):
         ctr = ctr_from_records(_envelope_stream(spark, sf), form, "1 hour")
-        return _run(spark, sf, encode(ctr), name)
+        return _run(spark, encode(ctr), name)
 
     return run
 
@@ -273,7 +352,6 @@ def _all_queries() -> dict[str, Query]:
         "campaign_event_times": lambda s, sf: events.campaign_event_times(_events(s, sf)),
         "stream_campaign_event_times": lambda s, sf: _run(
             s,
-            sf,
             events.campaign_event_times(counts.with_watermark(_event_stream(s, sf))),
             "stream_campaign_event_times",
         ),
@@ -283,6 +361,9 @@ def _all_queries() -> dict[str, Query]:
         "stream_ctr_left_join_from_records": _stream_ctr_from_records(
             ctr_left_join, records.result_records, "stream_ctr_left_join_from_records"
         ),
+        "stream_ctr_one_pass_from_records": _stream_ctr_from_records(
+            ctr_one_pass, records.result_records, "stream_ctr_one_pass_from_records"
+        ),
         "stream_ctr_smoothed_from_records": _stream_ctr_from_records(
             ctr_smoothed, records.smoothed_result_records, "stream_ctr_smoothed_from_records"
         ),
@@ -296,9 +377,8 @@ def _all_queries() -> dict[str, Query]:
         "read_results_smoothed": _read_results_smoothed,
         "window_latency": _window_latency,
         "window_latency_smoothed": _window_latency_smoothed,
-        "latency_average": lambda s, sf: reports.average_of_run(
-            s, _window_latency(s, sf), "run-1"
-        ),
+        "window_latency_repeated": _window_latency_repeated,
+        "latency_average": _latency_average,
         "latency_curve": _latency_curve,
         "campaign_mapping": lambda s, sf: mapping.campaign_mapping(
             event_table.ads(_table(s, sf))
@@ -307,10 +387,13 @@ def _all_queries() -> dict[str, Query]:
         "enrich_campaign": _enriched,
         "enrich_campaign_salted": lambda s, sf: _enriched(s, sf, salts=4),
         "stream_enrich_campaign": _stream_enriched,
+        "stream_enrich_campaign_salted": lambda s, sf: _stream_enriched(s, sf, salts=4),
+        "stream_restart": _stream_restart,
+        "stream_late_rows": _stream_late_rows,
         "event_summary": lambda s, sf: arrivals.event_summary(_events(s, sf)),
         "overall_rate": lambda s, sf: arrivals.overall_rate(_events(s, sf)),
         "arrival_rate": lambda s, sf: arrivals.arrival_rate(_events(s, sf)),
-        "arrival_gaps": lambda s, sf: arrivals.arrival_gaps(_events(s, sf)),
+        "arrival_gaps": _arrival_gaps,
         "burst_profile": lambda s, sf: arrivals.burst_profile(_events(s, sf), "1 hour"),
         "progress_rows": _progress_rows,
         "watermark_lag": lambda s, sf: progress.watermark_lag(_hourly_progress(s, sf)),
@@ -335,8 +418,7 @@ def _without_zone(df: DataFrame) -> DataFrame:
 
 def _in_utc(query: Query) -> Query:
     def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-        spark.conf.set("spark.sql.session.timeZone", "UTC")
-        return _without_zone(query(spark, sf_dir))
+        return _without_zone(query(own_session(spark, session__timeZone="UTC"), sf_dir))
 
     return run
 
@@ -446,13 +528,10 @@ p as (select epoch_us(hs) // 3600000000 batch_id,
 _GAPS = """
 with o as (select cast(user_id % 10 as varchar) campaign_id, epoch_us(ts) us, event_id from events),
 d as (select campaign_id, us - lag(us) over (partition by campaign_id order by us, event_id) gap
-      from o),
-s as (select campaign_id, count(gap) gaps, cast(sum(gap) as double) total,
-      cast(sum(cast(gap as hugeint) * gap) as double) squares from d group by 1),
-f as (select campaign_id, gaps, total / gaps mean,
-      sqrt(greatest((squares - total * total / gaps) / (gaps - 1), 0)) deviation from s)
-select campaign_id, gaps, mean / 1e6 mean_gap_s, deviation / 1e6 deviation_s,
-  deviation / mean ratio from f"""
+      from o)
+select campaign_id, count(gap) gaps, round(avg(gap) / 1e6, 9) mean_gap_s,
+  round(stddev_samp(gap) / 1e6, 9) deviation_s, round(stddev_samp(gap) / avg(gap), 9) ratio
+from d group by 1"""
 
 _BURSTS = """
 with c as (select date_trunc('hour', ts) b, count(*) n from events group by 1),
@@ -476,16 +555,16 @@ def oracle_sql() -> dict[str, str]:
     events_ms = _MS.format("ts")
     made = {
         "parse_ad_events": f"with {_AD_EVENTS} select {_PARSED_COLUMNS} from ad",
-        "drop_unparsed": f"""with {_AD_EVENTS} select campaign_id, user_id, event_type,
-            event_time from ad where event_type <> 'error'""",
+        "drop_unparsed": f"""with {_AD_EVENTS} select {_PARSED_COLUMNS} from ad
+            where event_type <> 'error'""",
         "corrupt_records": f"""with {_AD_EVENTS} select campaign_id, count(*) records,
             count(*) filter (event_type = 'error') corrupt_records from ad group by 1""",
         "event_time": f"""with {_AD_EVENTS} select event_id, event_time,
             make_timestamp(event_time * 1000) event_ts from ad""",
         "event_records": f"""with {_AD_EVENTS} select campaign_id as key,
-            cast(json_object('user_id', user_id, 'page_id', page_id, 'ad_id', ad_id,
-              'event_type', event_type, 'event_time', event_time,
-              'campaign_id', payload_campaign_id) as varchar) as value from ad""",
+            user_id, page_id, ad_id, cast(null as varchar) ad_type, event_type, event_time,
+            cast(null as varchar) ip_address, payload_campaign_id campaign_id,
+            production_timestamp from ad""",
         "filter_views": f"with {_AD_EVENTS} select * from ad where event_type = 'view'",
         "filter_clicks": f"with {_AD_EVENTS} select * from ad where event_type = 'click'",
         "campaign_event_times": f"with {_AD_EVENTS} select campaign_id, event_ts from ad",
@@ -495,6 +574,8 @@ def oracle_sql() -> dict[str, str]:
         "ctr_smoothed_from_records": _smoothed_sql(3600),
         "stream_ctr_left_join_from_records": f"""with r as (
             {_ctr_sql(3600, _closed(3600, "'view', 'click'"), events_ms)}) {_RESULT_JSON}""",
+        "stream_ctr_one_pass_from_records": f"""with r as (
+            {_ctr_sql(3600, _closed(3600, ""), events_ms)}) {_RESULT_JSON}""",
         "stream_ctr_smoothed_from_records": f"""with r as (
             {_smoothed_sql(3600, _closed(3600, ""))}) {_SMOOTHED_JSON}""",
         "result_records": f"with r as ({_ctr_sql(3600)}) {_RESULT_JSON}",
@@ -506,10 +587,16 @@ def oracle_sql() -> dict[str, str]:
             t as (select *, max(max_produce_time) over (partition by window_start)
                   window_max_ms from r)
             select *, epoch_us(append_ts) // 1000 - window_max_ms latency_ms from t""",
-        "latency_average": f"""with {_LATENCY_1H} select count(*) samples,
-            cast(sum(latency_ms) as double) / count(*) mean_latency_ms from l""",
-        "latency_curve": f"""with {_LATENCY_1H} select cast(views + clicks as int) throughput,
-            cast(sum(latency_ms) as double) / count(*) latency from l group by 1 order by 1""",
+        "window_latency_repeated": f"""with {_RESULTS_1H}, a as (select * from r union all
+            select * replace (max_kafka_ts - interval 1 second as max_kafka_ts) from r),
+            t as (select *, max(max_kafka_ts) over (partition by window_start) window_max_ts from a)
+            select *, epoch_us(append_ts) // 1000 - epoch_us(window_max_ts) // 1000 latency_ms from t""",
+        "latency_average": f"""with {_LATENCY_1H}, u as (select 'run-1' run_id, latency_ms from l
+            union all select 'run-2', latency_ms from l where campaign_id < '5')
+            select run_id, count(*) samples,
+            cast(sum(latency_ms) as double) / count(*) mean_latency_ms from u group by 1""",
+        "latency_curve": f"""with {_LATENCY_1H} select cast((views + clicks) // 3600 as int) throughput,
+            cast(latency_ms as double) latency from l""",
         "campaign_mapping": """select distinct cast(user_id as varchar) ad_id,
             cast(user_id // 100 as int) campaign_id from events""",
         "write_mapping": """select distinct cast(user_id as varchar) ad_id,
@@ -517,6 +604,11 @@ def oracle_sql() -> dict[str, str]:
         "enrich_campaign": _ENRICHED,
         "enrich_campaign_salted": _ENRICHED,
         "stream_enrich_campaign": _ENRICHED,
+        "stream_enrich_campaign_salted": _ENRICHED,
+        "stream_restart": _ctr_sql(3600, _closed(3600, "")),
+        "stream_late_rows": """select count(*) + 1 input_rows,
+            count(distinct (user_id, epoch_us(ts) // 10000000)) filter (user_id < 3) rows_dropped
+            from events""",
         "event_summary": """select count(*) events, min(ts) first_event_ts,
             max(ts) last_event_ts from events""",
         "overall_rate": """with s as (select count(*) events,

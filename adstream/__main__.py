@@ -9,12 +9,13 @@ import argparse
 from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from adstream.operators import latency, progress
 from adstream.operators.counts import DELAY, WINDOW
 from adstream.operators.records import result_records, smoothed_result_records
 from adstream.plans import ctr_from_records, ctr_left_join, ctr_one_pass, ctr_smoothed
-from adstream.session import build_session, shuffle_width
+from adstream.session import build_session
 from adstream.sources import (
     FileFolder,
     endpoint,
@@ -43,12 +44,11 @@ def ctr(spark: SparkSession, args: argparse.Namespace) -> None:
     if store:
         spark.streams.addListener(store)
     try:
-        with shuffle_width(spark, args.partitions):
-            if args.available_now:
-                run_available(encode(rates), sink, args.checkpoint)
-            else:
-                query = start(encode(rates), sink, args.checkpoint, args.interval)
-                query.awaitTermination()
+        if args.available_now:
+            run_available(encode(rates), sink, args.checkpoint, args.partitions)
+        else:
+            query = start(encode(rates), sink, args.checkpoint, args.interval, args.partitions)
+            query.awaitTermination()
     finally:
         if store:
             store.wait()
@@ -69,8 +69,11 @@ def publish(spark: SparkSession, args: argparse.Namespace) -> None:
 
 
 def average(spark: SparkSession, args: argparse.Namespace) -> DataFrame:
-    """Mean of a file of samples."""
-    return latency.latency_average(read_latencies(spark, args.path))
+    """Mean of each run in a file of samples, or of one of them."""
+    samples = read_latencies(spark, args.path)
+    if args.run_id is not None:
+        samples = samples.filter(F.col("run_id") == args.run_id)
+    return latency.latency_average(samples)
 
 
 def curve(spark: SparkSession, args: argparse.Namespace) -> DataFrame:
@@ -97,7 +100,7 @@ def arguments(argv: Sequence[str] | None) -> argparse.Namespace:
     job.add_argument("--source", required=True)
     job.add_argument("--sink", required=True)
     job.add_argument("--checkpoint", required=True)
-    job.add_argument("--form", choices=FORMS, default="left-join")
+    job.add_argument("--form", choices=FORMS, default="one-pass")
     job.add_argument("--window", default=WINDOW)
     job.add_argument("--delay", default=DELAY)
     job.add_argument("--interval", help="fixed trigger, such as '1 second'")
@@ -110,7 +113,7 @@ def arguments(argv: Sequence[str] | None) -> argparse.Namespace:
     job.add_argument("--results", required=True)
     job.add_argument("--out", required=True)
     job.add_argument("--run-id", required=True)
-    job.add_argument("--form", choices=FORMS, default="left-join")
+    job.add_argument("--form", choices=FORMS, default="one-pass")
 
     job = jobs.add_parser("publish", help=publish.__doc__)
     job.set_defaults(job=publish)
@@ -121,20 +124,18 @@ def arguments(argv: Sequence[str] | None) -> argparse.Namespace:
         job = jobs.add_parser(report.__name__.replace("_", "-"), help=report.__doc__)
         job.set_defaults(job=report)
         job.add_argument("path")
-        job.add_argument("--out", help="folder for the report; it is shown when left out")
+        job.add_argument("--out", required=True, help="folder for the report")
+        if report is average:
+            job.add_argument("--run-id", help="this run only")
     return parser.parse_args(argv)
 
 
 def main(argv: Sequence[str] | None = None, spark: SparkSession | None = None) -> None:
     args = arguments(argv)
     report = args.job(spark or build_session(), args)
-    if report is None:
-        return
-    if args.out:
+    if report is not None:
         sink = FileFolder(args.out)
         report.write.format(sink.format).save(sink.path)
-    else:
-        report.show(truncate=False)
 
 
 if __name__ == "__main__":

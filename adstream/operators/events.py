@@ -31,7 +31,7 @@ def parse_ad_events(
     ``campaign_id`` is the record key, ``kafka_ts`` the record time, ``event_ts``
     the payload's event time; the payload's campaign is ``payload_campaign_id``.
     A text that does not parse gives NULL fields, with the text in
-    ``corrupt_record``. Decoding dominates the cost of a query over a topic, so
+    ``corrupt_record``; a missing text counts as an empty one. Decoding dominates the cost of a query over a topic, so
     name the ``fields`` it uses.
     """
     payload = [f for f in AD_EVENT if fields is None or f.name in fields]
@@ -45,7 +45,12 @@ def parse_ad_events(
         json_columns(F.col("value").cast("string"), T.StructType(payload), options).alias(
             *[_output_name(f.name) for f in payload]
         ),
+        F.col("value").isNull().alias("missing"),
     )
+    if keep_corrupt:
+        text = F.coalesce(CORRUPT, F.when(F.col("missing"), F.lit("")))
+        parsed = parsed.withColumn(CORRUPT, text)
+    parsed = parsed.drop("missing")
     return with_event_ts(parsed) if "event_time" in parsed.columns else parsed
 
 
@@ -75,9 +80,15 @@ def may_be_of_kind(records: DataFrame, kinds: Sequence[str]) -> DataFrame:
 
 
 def drop_unparsed(events: DataFrame) -> DataFrame:
-    """Skip records of which no payload field could be read."""
+    """Skip records that did not parse: without a text, or with one of which no field
+    could be read.
+
+    Valid JSON without a known field stays. Needs the corrupt texts that
+    ``parse_ad_events`` keeps.
+    """
     payload = [n for n in map(_output_name, AD_EVENT.fieldNames()) if n in events.columns]
-    return events.na.drop("all", subset=payload)
+    read = F.coalesce(*[F.col(n).cast("string") for n in payload]).isNotNull()
+    return events.filter(F.col(CORRUPT).isNull() | read)
 
 
 def with_event_ts(events: DataFrame) -> DataFrame:

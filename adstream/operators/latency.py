@@ -42,28 +42,33 @@ def _beside(records: DataFrame, latest: DataFrame) -> DataFrame:
 
 
 def _earliest_append(results: DataFrame) -> DataFrame:
-    """One record per campaign and window: sinks may repeat a record."""
-    keys = ["campaign_id", "window_start"]
-    rest = [c for c in results.columns if c not in (*keys, "append_ts")]
-    return (
-        results.groupBy(*keys)
-        .agg(F.min(F.struct("append_ts", *rest)).alias("first"))
-        .select(*keys, "first.*")
-    )
+    """Each different record once, with its first append time: sinks may repeat one.
+
+    Records that differ in anything else are all kept. Those of another run must be
+    kept apart by the caller, by the bounds of the read or a column of the run.
+    """
+    rest = [c for c in results.columns if c != "append_ts"]
+    first = results.groupBy(*rest).agg(F.min("append_ts").alias("append_ts"))
+    return first.select(*results.columns)
 
 
 def latency_average(latencies: DataFrame) -> DataFrame:
-    """Number of samples and their mean; a mean of NULL when there are none."""
-    return latencies.agg(
+    """Number of samples and their mean, of each run where ``run_id`` tells runs apart.
+
+    Without that column there is one row, with a mean of NULL when there are none.
+    """
+    runs = [c for c in ("run_id",) if c in latencies.columns]
+    return latencies.groupBy(*runs).agg(
         F.count("latency_ms").alias("samples"),
         F.avg("latency_ms").alias("mean_latency_ms"),
     )
 
 
 def latency_curve(curve: DataFrame) -> DataFrame:
-    """Mean latency at each throughput, by rising throughput."""
-    return (
-        curve.groupBy("throughput")
-        .agg(F.avg("latency").alias("latency"))
-        .orderBy("throughput")
-    )
+    """The points of a curve by rising throughput, all of them."""
+    return curve.select("throughput", "latency").orderBy("throughput", "latency")
+
+
+def mean_by_throughput(curve: DataFrame) -> DataFrame:
+    """One point for each throughput, the mean of its latencies."""
+    return curve.groupBy("throughput").agg(F.avg("latency").alias("latency"))

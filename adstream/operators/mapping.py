@@ -8,8 +8,10 @@ from pyspark.sql import functions as F
 
 def campaign_mapping(ads: DataFrame, ads_per_campaign: int = 100) -> DataFrame:
     """Campaign of each ad: its running number ``ad_index`` over the campaign size."""
-    campaign = F.floor(F.col("ad_index") / ads_per_campaign).cast("int")
-    return ads.select("ad_id", campaign.alias("campaign_id"))
+    index = F.col("ad_index").cast("bigint")
+    first = index - F.pmod(index, F.lit(ads_per_campaign))
+    campaign = F.call_function("div", first, F.lit(ads_per_campaign))
+    return ads.select("ad_id", campaign.cast("int").alias("campaign_id"))
 
 
 def enrich_campaign(events: DataFrame, mapping: DataFrame, salts: int = 1) -> DataFrame:

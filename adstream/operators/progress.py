@@ -8,8 +8,11 @@ from pyspark.sql import functions as F
 from adstream.functions import iso_to_millis
 from adstream.schemas import PROGRESS_JSON
 
-# Fixed value: how a watermark line of the log is recognised.
-WATERMARK_LINE = r"wm=([0-9T:.Z-]+)\s+processing_time=([0-9T:.Z-]+)"
+# The words before the two times in a line of the log.
+WATERMARK_WORD, PROCESSING_WORD = "wm=", "processing_time="
+
+# What is not a time is told by reading it as one.
+WATERMARK_LINE = rf"(?:^|\s){WATERMARK_WORD}(\S+)\s+{PROCESSING_WORD}(\S+)"
 
 
 def progress_rows(reports: DataFrame) -> DataFrame:
@@ -46,16 +49,12 @@ def watermark_lag(progress: DataFrame) -> DataFrame:
 def watermark_lines(progress: DataFrame) -> DataFrame:
     """Log lines of progress rows with a watermark: one on it, one on the sink."""
     line = F.concat(
-        F.lit("[WM] batch="),
-        F.col("batch_id").cast("string"),
-        F.lit(" wm="),
+        F.lit(f"watermark {WATERMARK_WORD}"),
         F.col("watermark"),
-        F.lit(" processing_time="),
+        F.lit(f" {PROCESSING_WORD}"),
         F.col("timestamp"),
-        F.lit(" rows="),
-        F.col("input_rows").cast("string"),
     )
-    sink = F.concat(F.lit("[SINK] "), F.coalesce(F.col("sink"), F.lit("")))
+    sink = F.concat(F.lit("sink "), F.coalesce(F.col("sink"), F.lit("")))
     return progress.filter(F.col("watermark").isNotNull()).select(
         F.explode(F.array(line, sink)).alias("value")
     )

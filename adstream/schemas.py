@@ -2,6 +2,8 @@
 
 from pyspark.sql import types as T
 
+# Fixed values in all of these: the field names, which producers and readers share.
+
 # Payload of an ad event. campaign_id and production_timestamp are missing from
 # some producers; production_timestamp carries a fraction, so it is a DOUBLE.
 AD_EVENT = T.StructType(

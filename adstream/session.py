@@ -2,12 +2,12 @@
 
 from __future__ import annotations
 
+import threading
 import uuid
 from collections.abc import Iterator
 from contextlib import contextmanager
 
 from pyspark.sql import SparkSession
-from pyspark.sql import functions as F
 
 # Stateful queries keep (campaign, window) groups; RocksDB holds them off-heap
 # and on local disk, and uploads only changes at each commit. Join state format 3
@@ -20,6 +20,8 @@ STREAM_CONF = {
     "spark.sql.streaming.join.stateFormatVersion": "3",
 }
 
+_STARTING = threading.RLock()
+
 
 def build_session(
     app: str = "adstream",
@@ -61,34 +63,48 @@ def shared_folder(spark: SparkSession, name: str) -> str:
     return f"{base.rstrip('/')}/{name}-{uuid.uuid4().hex}"
 
 
-def folder_bytes(spark: SparkSession, path: str) -> int:
-    """Size of the files at or below ``path``, from their listing."""
-    files = spark.read.format("binaryFile").option("recursiveFileLookup", True).load(path)
-    return files.agg(F.sum("length")).first()[0] or 0
+def own_session(spark: SparkSession, **settings: str) -> SparkSession:
+    """A session beside ``spark`` with its settings and some of its own.
+
+    What is set there is not seen by ``spark`` or by queries started from it. Names
+    have ``__`` for each dot and begin after ``spark.sql.``.
+    """
+    made = spark.newSession()
+    own = {f"spark.sql.{k.replace('__', '.')}": v for k, v in settings.items()}
+    for key, value in (spark.conf.getAll | own).items():
+        if spark.conf.isModifiable(key):
+            made.conf.set(key, value)
+    return made
 
 
-def state_partitions(
-    spark: SparkSession, input_bytes: int, partition_bytes: int = 64 << 20
-) -> int:
-    """Shuffle width for a stream over ``input_bytes``.
+def state_width(spark: SparkSession, per_core: int = 1) -> int:
+    """State partitions for a new checkpoint: some per core of the cluster.
 
-    Adaptive execution merges small partitions of a batch query, but not those of
-    a stateful one, where each commits its state in every batch. So small inputs
-    get fewer partitions than the session has, and large ones the session's.
+    The number lasts as long as the checkpoint, whatever the input grows to, so it
+    follows the machines and not the input.
     """
-    session = int(spark.conf.get("spark.sql.shuffle.partitions"))
-    needed = -(-input_bytes // partition_bytes)
-    return min(session, max(needed, spark.sparkContext.defaultParallelism))
+    return per_core * spark.sparkContext.defaultParallelism
 
 
 @contextmanager
-def shuffle_width(spark: SparkSession, partitions: int | None) -> Iterator[None]:
-    """Use a number of shuffle partitions for the queries started inside."""
-    key = "spark.sql.shuffle.partitions"
-    before = spark.conf.get(key)
+def stream_settings(spark: SparkSession, partitions: int | None = None) -> Iterator[None]:
+    """State settings for the queries started inside; the session's own come back.
+
+    A query copies its session when it is started, so they need not last longer. One
+    query at a time starts this way.
+    """
+    wanted = dict(STREAM_CONF)
     if partitions:
-        spark.conf.set(key, str(partitions))
-    try:
-        yield
-    finally:
-        spark.conf.set(key, before)
+        wanted["spark.sql.shuffle.partitions"] = str(partitions)
+    with _STARTING:
+        before = {key: spark.conf.get(key, None) for key in wanted}
+        try:
+            for key, value in wanted.items():
+                spark.conf.set(key, value)
+            yield
+        finally:
+            for key, value in before.items():
+                if value is None:
+                    spark.conf.unset(key)
+                else:
+                    spark.conf.set(key, value)

@@ -11,7 +11,9 @@ from pyspark.sql import types as T
 class KafkaTopic:
     """A topic. Needs the public spark-sql-kafka package on the class path.
 
-    ``group_id`` is optional; Spark makes one per query when it is left out.
+    ``group_id`` is optional; Spark makes one per query when it is left out. Lost
+    offsets end a bounded read, which would be short without a word; a stream goes on
+    unless ``fail_on_data_loss`` is set.
     ``max_offsets_per_trigger`` and ``min_partitions`` bound a micro-batch and
     split large topic partitions over more tasks.
     """
@@ -30,7 +32,7 @@ class KafkaTopic:
             "kafka.bootstrap.servers": self.servers,
             "subscribe": self.topic,
             "startingOffsets": self.starting_offsets,
-            "failOnDataLoss": str(self.fail_on_data_loss).lower(),
+            "failOnDataLoss": str(self.fail_on_data_loss or not streaming).lower(),
         }
         if self.group_id:
             options["kafka.group.id"] = self.group_id

@@ -28,13 +28,25 @@ def read_table(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def stream_table(
-    spark: SparkSession, folder: str, files: str = FILE, per_batch: int | None = None
+    spark: SparkSession,
+    folder: str,
+    files_per_batch: int | None = None,
+    bytes_per_batch: str | None = None,
 ) -> DataFrame:
-    """The table as a stream of files; ``per_batch`` bounds a micro-batch."""
-    reader = spark.readStream.schema(TABLE_SCHEMA).option("pathGlobFilter", files)
-    if per_batch:
-        reader = reader.option("maxFilesPerTrigger", per_batch)
-    return reader.parquet(folder)
+    """The table as a stream, be it one file or a folder of part files.
+
+    Bound a micro-batch by files or by bytes (such as ``"64g"``) where the table is
+    large, so that a lost executor repeats one batch and not all. Files are taken by
+    their time of change: where that is not the order of their events, rows of later
+    files can come late, so give a longer delay or leave the bound out.
+    """
+    reader = spark.readStream.schema(TABLE_SCHEMA)
+    if files_per_batch:
+        reader = reader.option("maxFilesPerTrigger", files_per_batch)
+    if bytes_per_batch:
+        reader = reader.option("maxBytesPerTrigger", bytes_per_batch)
+    # A stream reads folders, or what a pattern matches; this one has one match.
+    return reader.parquet(f"{path(folder)[:-1]}[{FILE[-1]}]")
 
 
 def ad_events(table: DataFrame) -> DataFrame:

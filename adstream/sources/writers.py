@@ -2,11 +2,14 @@
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import DataStreamWriter, StreamingQuery
 
 from adstream.operators.records import event_records
+from adstream.session import state_width, stream_settings
 from adstream.sources.endpoints import FileFolder, JdbcTable, KafkaTopic
 
 Sink = KafkaTopic | FileFolder
@@ -26,12 +29,14 @@ def write_results(
     """Append records to a topic or a folder; starts a query if they stream.
 
     Spark's Kafka sink delivers at least once: read results back with
-    ``window_latency``, which keeps the earliest of repeated records.
+    ``window_latency``, which takes each different record once. State of a stream is
+    kept as by ``streaming.start``.
     """
     if records.isStreaming:
         if not checkpoint:
             raise ValueError("a streaming write needs a checkpoint folder")
-        return stream_writer(records, sink, checkpoint).start()
+        with stream_settings(records.sparkSession, state_width(records.sparkSession)):
+            return stream_writer(records, sink, checkpoint).start()
     writer = records.write.mode("append")
     if isinstance(sink, KafkaTopic):
         writer.format("kafka").options(**sink.write_options()).save()
@@ -48,12 +53,27 @@ def write_events(
 
 
 def write_mapping(mapping: DataFrame, sink: FileFolder | JdbcTable) -> None:
-    """Replace the ad-to-campaign table. A JDBC table is emptied, not dropped."""
-    writer = mapping.write.mode("overwrite")
+    """Replace the ad-to-campaign table.
+
+    A folder is written beside the old one and then takes its name, so a reader finds
+    the old mapping or the new one, never an empty or a half one. A JDBC table is
+    emptied, not dropped, and filled again.
+    """
     if isinstance(sink, JdbcTable):
-        writer.format("jdbc").options(**sink.write_options()).save()
-    else:
-        writer.format(sink.format).options(**sink.options).save(sink.path)
+        mapping.write.mode("overwrite").format("jdbc").options(**sink.write_options()).save()
+        return
+    beside = f"{sink.path.rstrip('/')}-{uuid.uuid4().hex}"
+    mapping.write.format(sink.format).options(**sink.options).save(f"{beside}-new")
+    hadoop = mapping.sparkSession._jvm.org.apache.hadoop.fs
+    new, old, path = (hadoop.Path(p) for p in (f"{beside}-new", f"{beside}-old", sink.path))
+    files = path.getFileSystem(mapping.sparkSession._jsc.hadoopConfiguration())
+    had_one = files.exists(path)
+    if had_one and not files.rename(path, old):
+        raise OSError(f"{sink.path} cannot be replaced")
+    if not files.rename(new, path):
+        raise OSError(f"{sink.path} is in {beside}-new")
+    if had_one:
+        files.delete(old, True)
 
 
 def write_latency(latencies: DataFrame, path: str, run_id: str) -> None:

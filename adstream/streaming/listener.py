@@ -14,60 +14,81 @@ from adstream.operators.progress import progress_rows
 class ProgressStore(StreamingQueryListener):
     """Appends each query's progress reports to a folder of JSON lines.
 
-    Reports are buffered and written by Spark, ``every`` at a time and when a
-    query ends, so the driver holds only a few of them and the folder can be any
-    that Spark can write. Register with ``spark.streams.addListener``.
+    A thread of its own writes what has come in, by Spark, every few ``seconds``, and
+    at once when a query ends; the listener's calls only hand reports over. Should the
+    folder refuse ``most`` reports, the store stops taking more and ``wait`` raises.
+    Register with ``spark.streams.addListener``.
     """
 
-    def __init__(self, spark: SparkSession, path: str, every: int = 100):
+    def __init__(self, spark: SparkSession, path: str, seconds: float = 10.0, most: int = 10_000):
         self._spark = spark
         self._path = path
-        self._every = every
-        self._lock = threading.Lock()
+        self._seconds = seconds
+        self._most = most
         self._reports: list[str] = []
         self._running: set[str] = set()
         self._changed = threading.Condition()
+        self._ended = False
+        self._failure: Exception | None = None
+        threading.Thread(target=self._write_on, daemon=True).start()
 
     def onQueryStarted(self, event):
         with self._changed:
             self._running.add(str(event.runId))
 
     def onQueryProgress(self, event):
-        with self._lock:
-            self._reports.append(event.progress.json)
-            full = len(self._reports) >= self._every
-        if full:
-            self.flush()
+        with self._changed:
+            if len(self._reports) < self._most:
+                self._reports.append(event.progress.json)
+            else:
+                self._failure = self._failure or RuntimeError(f"{self._path} takes no reports")
 
     def onQueryIdle(self, event):
         pass
 
     def onQueryTerminated(self, event):
-        try:
-            self.flush()
-        finally:
+        with self._changed:
+            self._running.discard(str(event.runId))
+            self._ended = True
+            self._changed.notify_all()
+
+    def _write_on(self) -> None:
+        while True:
+            with self._changed:
+                self._changed.wait_for(lambda: self._ended, self._seconds)
+                reports = list(self._reports)
+                ended, self._ended = self._ended, False
+            try:
+                self._append(reports)
+            except Exception as failure:
+                with self._changed:
+                    self._failure = failure
+                    self._changed.notify_all()
+                continue
             with self._changed:
-                self._running.discard(str(event.runId))
-                self._changed.notify_all()
-
-    def flush(self) -> None:
-        """Write out the reports held so far."""
-        with self._lock:
-            reports, self._reports = self._reports, []
-        if not reports:
-            return
-        rows = self._spark.createDataFrame([(r,) for r in reports], "value string")
-        try:
+                del self._reports[: len(reports)]
+                if ended:
+                    self._changed.notify_all()
+
+    def _append(self, reports: list[str]) -> None:
+        if reports:
+            rows = self._spark.createDataFrame([(r,) for r in reports], "value string")
             rows.coalesce(1).write.mode("append").text(self._path)
-        except Exception:
-            with self._lock:
-                self._reports = reports + self._reports
-            raise
 
-    def wait(self, seconds: float = 60.0) -> bool:
-        """Wait until all queries seen have ended and their reports are written."""
+    def wait(self, seconds: float | None = None) -> None:
+        """Wait until all queries seen have ended and their reports are written.
+
+        Raises what kept them from being written, or TimeoutError if they are not
+        within ``seconds``; by default there is no limit.
+        """
+        def settled():
+            return self._failure or not (self._running or self._reports or self._ended)
+
         with self._changed:
-            return self._changed.wait_for(lambda: not self._running, seconds)
+            if not self._changed.wait_for(settled, seconds):
+                raise TimeoutError(f"reports are not all in {self._path} yet")
+            if self._failure:
+                raise self._failure
 
     def rows(self, run_id: str | None = None) -> DataFrame:
         """The reports written so far, one row each; of one run, if given.

@@ -57,13 +57,16 @@ def test_from_events_to_latency(spark, tmp_path, topic, form, expected):
     assert {r["latency_ms"] for r in samples.collect()} == {21000.0, 17000.0}
     main(["average", where["lat"], "--out", where["avg"]], spark)
     assert spark.read.parquet(where["avg"]).first()["samples"] == expected
+    main(["average", where["lat"], "--run-id", "r2", "--out", where["avg"] + "2"], spark)
+    assert spark.read.parquet(where["avg"] + "2").count() == 0
 
 
-def test_reports(spark, tmp_path, capsys):
+def test_reports(spark, tmp_path):
     (tmp_path / "curve").write_text("throughput,latency\n2, 5.5\n1, 4.0\n")
-    main(["curve", str(tmp_path / "curve")], spark)
-    shown = capsys.readouterr().out
-    assert shown.index("4.0") < shown.index("5.5")
+    with pytest.raises(SystemExit):
+        main(["curve", str(tmp_path / "curve")], spark)
+    main(["curve", str(tmp_path / "curve"), "--out", str(tmp_path / "sorted")], spark)
+    assert spark.read.parquet(str(tmp_path / "sorted")).count() == 2
     line = "[WM] batch=1 wm=2025-11-20T01:57:28.492Z processing_time=2025-11-20T07:27:30.5 rows=1"
     (tmp_path / "log").write_text(line + "\n")
     main(["watermark-log", str(tmp_path / "log"), "--out", str(tmp_path / "wm")], spark)

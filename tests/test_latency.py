@@ -118,8 +118,25 @@ def test_curve(spark, tmp_path):
     ]
 
 
-def test_curve_averages_equal_throughputs(spark):
-    rows = [(10, 1.0), (20, 5.0), (10, 3.0)]
+def test_curve_keeps_every_point_and_its_mean_is_apart(spark):
+    rows = [(10, 3.0), (20, 5.0), (10, 1.0)]
     curve = spark.createDataFrame(rows, LATENCY_CURVE)
-    got = latency.latency_curve(curve).collect()
-    assert [tuple(r) for r in got] == [(10, 2.0), (20, 5.0)]
+    assert [tuple(r) for r in latency.latency_curve(curve).collect()] == sorted(rows)
+    mean = latency.mean_by_throughput(curve).collect()
+    assert sorted(tuple(r) for r in mean) == [(10, 2.0), (20, 5.0)]
+
+
+def test_repeats_go_and_other_records_stay_without_sorting(spark):
+    made = [("1", _ts(0), _ts(10_000), 1, 0, 0.0, _ts(9000), _ts(12_000 + late)) for late in (0, 5000)]
+    made.append(("1", _ts(0), _ts(10_000), 2, 0, 0.0, _ts(9500), _ts(13_000)))
+    got = latency.window_latency(spark.createDataFrame(made, _appended(CTR_RESULT)))
+    assert sorted(r["latency_ms"] for r in got.collect()) == [2500, 3500]
+    plan = got._jdf.queryExecution().executedPlan().toString()
+    assert "SortAggregate" not in plan
+
+
+def test_mean_of_each_run(spark):
+    runs = {"a": [(1,), (3,)], "b": [(5,)]}
+    frames = {k: spark.createDataFrame(v, "latency_ms bigint") for k, v in runs.items()}
+    got = reports.average_of_runs(spark, frames).collect()
+    assert sorted((r.run_id, r.samples, r.mean_latency_ms) for r in got) == [("a", 2, 2.0), ("b", 1, 5.0)]

@@ -10,8 +10,9 @@ import __spark_entry__ as contract
 
 SF = "/root/testdata/sf0.01"
 
-QUERIES = contract.queries()
-ORACLES = contract.oracle_sql()
+LLM = contract.llm_queries.queries().keys() | {"pipeline"} if contract.llm_queries else set()
+QUERIES = {n: q for n, q in contract.queries().items() if n not in LLM}
+ORACLES = {n: q for n, q in contract.oracle_sql().items() if n not in LLM}
 
 
 @pytest.fixture(scope="module")

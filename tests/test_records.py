@@ -62,6 +62,7 @@ def test_drop_unparsed(spark):
         "unknown field",
         "repr",
         "quoted time",
+        "empty object",
     }
 
 

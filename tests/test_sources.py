@@ -149,15 +149,32 @@ def test_session_settings(spark):
     assert spark.conf.get("spark.sql.adaptive.skewJoin.enabled") == "true"
 
 
-def test_state_partitions_follow_the_input(spark, tmp_path):
-    (tmp_path / "a").mkdir()
-    (tmp_path / "a" / "x").write_bytes(b"0" * 1000)
-    (tmp_path / "y").write_bytes(b"0" * 24)
-    assert session.folder_bytes(spark, str(tmp_path)) == 1024
-    assert session.folder_bytes(spark, str(tmp_path / "y")) == 24
-    with session.shuffle_width(spark, 500):
-        assert session.state_partitions(spark, 1024) == 8
-        assert session.state_partitions(spark, 100 * (64 << 20)) == 100
-        assert session.state_partitions(spark, 100 << 40) == 500
-    assert spark.conf.get("spark.sql.shuffle.partitions") == "4"
-    assert session.state_partitions(spark, 1024) == 4
+def test_state_width_follows_the_cluster(spark):
+    assert session.state_width(spark) == spark.sparkContext.defaultParallelism == 8
+    assert session.state_width(spark, 3) == 24
+
+
+def test_own_session_leaves_the_other_alone(spark):
+    before = spark.conf.getAll
+    own = session.own_session(spark, session__timeZone="Asia/Tokyo", shuffle__partitions="7")
+    assert own.conf.get("spark.sql.session.timeZone") == "Asia/Tokyo"
+    assert own.conf.get("spark.sql.adaptive.skewJoin.enabled") == "true"
+    assert spark.conf.getAll == before
+
+
+def test_mapping_is_replaced_as_a_whole(spark, tmp_path):
+    sink = FileFolder(str(tmp_path / "mapping"))
+    one = spark.createDataFrame([("a", 1), ("b", 2)], MAPPING)
+    write_mapping(one, sink)
+    write_mapping(one.limit(1), sink)
+    assert spark.read.parquet(sink.path).count() == 1
+    broken = one.withColumn("campaign_id", F.raise_error(F.lit("no")).cast("int"))
+    with pytest.raises(Exception):
+        write_mapping(broken, sink)
+    assert spark.read.parquet(sink.path).count() == 1
+
+
+def test_campaigns_of_large_indexes(spark):
+    ads = spark.createDataFrame([("a", 90071992547409999 % 199_999_999_999), ("b", -1), ("c", 199)], "ad_id string, ad_index long")
+    got = {r.ad_id: r.campaign_id for r in mapping.campaign_mapping(ads).collect()}
+    assert got == {"a": 90071992547409999 % 199_999_999_999 // 100, "b": -1, "c": 1}

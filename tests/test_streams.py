@@ -1,16 +1,26 @@
 """Streams: what is emitted, what is late, what a restart adds."""
 
+import time
+from functools import partial
+from types import SimpleNamespace
+
+import duckdb
 import pytest
+from pyspark.sql import Window
 from pyspark.sql import functions as F
 
+import __spark_entry__ as contract
+
 from adstream.operators import mapping
 from adstream.operators.counts import flatten_window, view_counts, with_watermark
 from adstream.plans import ctr_left_join, ctr_one_pass, ctr_smoothed
 from adstream.session import STREAM_CONF
-from adstream.sources import FileFolder, console, write_results
+from adstream.sources import FileFolder, console, event_table, write_results
 from adstream.streaming import ProgressStore, run_available, run_to_table, start
 from helpers import BASE, GOLDEN, FileFeed, ad_events, texts
 
+SF = "/root/testdata/sf0.001"
+
 HDFS_STORE = (
     "org.apache.spark.sql.execution.streaming.state.HDFSBackedStateStoreProvider"
 )
@@ -48,7 +58,7 @@ def test_late_rows(spark, feed, tmp_path):
     counted = flatten_window(view_counts(with_watermark(feed.stream(spark))))
     out = FileFolder(str(tmp_path / "out"))
     query = run_available(counted, out, str(tmp_path / "cp"))
-    assert store.wait()
+    store.wait()
     spark.streams.removeListener(store)
     got = spark.read.schema(counted.schema).parquet(out.path)
     assert _windows(got, "views") == [(0, 1), (30000, 3)]
@@ -163,7 +173,7 @@ def test_console(spark, feed, tmp_path):
 
 def test_progress_store_of_two_queries(spark, feed, tmp_path):
     feed.add(("1", "view", 1000)).add(("1", "view", 32000))
-    store = ProgressStore(spark, str(tmp_path / "progress"), every=1)
+    store = ProgressStore(spark, str(tmp_path / "progress"), seconds=0.1)
     spark.streams.addListener(store)
     out = [FileFolder(str(tmp_path / f"out{i}")) for i in range(2)]
     queries = [
@@ -173,7 +183,7 @@ def test_progress_store_of_two_queries(spark, feed, tmp_path):
     for query in queries:
         query.processAllAvailable()
         query.stop()
-    assert store.wait()
+    store.wait()
     spark.streams.removeListener(store)
     for query in queries:
         assert store.rows(query.runId).agg(F.sum("input_rows")).first()[0] == 2
@@ -188,11 +198,84 @@ def test_state_of_the_forms(spark, feed, tmp_path):
         assert len(query.lastProgress.stateOperators) == operators
 
 
-def test_progress_store_keeps_reports_of_a_failed_write(spark, tmp_path):
+def test_progress_store_tells_of_a_failed_write(spark, tmp_path, feed):
     blocked = tmp_path / "file"
     blocked.write_text("")
-    store = ProgressStore(spark, str(blocked / "below"))
-    store._reports = ["{}"]
+    store = ProgressStore(spark, str(blocked / "below"), seconds=0.1)
+    spark.streams.addListener(store)
+    feed.add(("1", "view", 1000))
+    run_to_table(ctr_one_pass(feed.stream(spark)), spark, "blocked")
     with pytest.raises(Exception):
-        store.flush()
-    assert store._reports == ["{}"]
+        store.wait()
+    spark.streams.removeListener(store)
+
+
+def test_progress_store_is_bounded_and_waits_no_longer_than_asked(spark, tmp_path):
+    store = ProgressStore(spark, str(tmp_path / "x"), seconds=60, most=1)
+    store._running.add("never ends")
+    with pytest.raises(TimeoutError):
+        store.wait(0.1)
+    for _ in range(2):
+        store.onQueryProgress(SimpleNamespace(progress=SimpleNamespace(json="{}")))
+    with pytest.raises(RuntimeError):
+        store.wait()
+
+
+@pytest.fixture
+def plain(spark):
+    """A session without this package's settings."""
+    made = spark.newSession()
+    made.conf.set("spark.sql.session.timeZone", "UTC")
+    made.conf.set("spark.sql.streaming.stateStore.providerClass", HDFS_STORE)
+    made.conf.set("spark.sql.streaming.join.stateFormatVersion", "2")
+    made.conf.set("spark.sql.shuffle.partitions", "200")
+    return made
+
+
+def test_state_settings_hold_whatever_the_session(plain, feed, tmp_path):
+    feed.add(*GOLDEN).add(("9", "view", 25000))
+    before = plain.conf.getAll
+    out = FileFolder(str(tmp_path / "out"))
+    query = run_available(ctr_left_join(feed.stream(plain)), out, str(tmp_path / "cp"), 2)
+    operators = query.lastProgress.stateOperators
+    assert all("rocksdbCommitFlushLatency" in o.customMetrics for o in operators)
+    assert {o.numShufflePartitions for o in operators} == {2}
+    assert plain.conf.getAll == before
+
+
+STREAMED = [n for n in contract.queries() if n.startswith("stream_")] + ["progress_rows"]
+PLAIN = [n for n in STREAMED if n not in ("stream_restart", "stream_late_rows", "progress_rows")]
+
+
+@pytest.fixture(scope="module")
+def parts(spark, tmp_path_factory):
+    folder = tmp_path_factory.mktemp("parts")
+    table = spark.read.parquet(f"{SF}/events.parquet")
+    for k in range(4):
+        ranked = table.withColumn("k", F.ntile(4).over(Window.orderBy("ts")))
+        ranked.where(F.col("k") == k + 1).drop("k").coalesce(1).write.mode("append").parquet(
+            str(folder / "events.parquet")
+        )
+        time.sleep(0.05)
+    return str(folder)
+
+
+@pytest.mark.parametrize("name", PLAIN)
+def test_streams_over_a_folder_of_files_in_several_batches(spark, parts, name, monkeypatch):
+    bounded = partial(event_table.stream_table, files_per_batch=1)
+    monkeypatch.setattr(event_table, "stream_table", bounded)
+    got = contract.queries()[name](spark, parts)
+    con = duckdb.connect()
+    con.execute(f"create view events as select * from '{SF}/events.parquet'")
+    rel = con.sql(contract.oracle_sql()[name])
+    order = sorted(rel.columns)
+    mine = sorted(str(tuple(r[c] for c in order)) for r in got.collect())
+    columns = [rel.columns.index(c) for c in order]
+    assert mine == sorted(str(tuple(r[k] for k in columns)) for r in rel.fetchall())
+
+
+def test_a_bounded_stream_takes_several_batches(spark, parts, tmp_path):
+    stream = event_table.stream_table(spark, parts, files_per_batch=1)
+    query = run_available(stream, FileFolder(str(tmp_path / "out")), str(tmp_path / "cp"))
+    assert query.lastProgress.batchId == 3
+    assert spark.read.parquet(str(tmp_path / "out")).count() == 1000
