@@ -26,9 +26,14 @@ PLACES = 1 << 31
 
 @dataclass(frozen=True)
 class Repeats:
-    """Fewest words of a run of repeated units that is removed."""
+    """Fewest words of a run of repeated units that is removed.
+
+    Words of units with fewer than ``unit_words`` do not count towards it: a document
+    of one-word sentences repeats them by chance.
+    """
 
     words: int = 25
+    unit_words: int = 4
 
 
 def unit_table(docs: DataFrame) -> DataFrame:
@@ -116,10 +121,11 @@ def repeated_spans(docs: DataFrame, how: Repeats = Repeats()) -> DataFrame:
             F.min("start").cast("bigint").alias("start"),
             F.max("end").cast("bigint").alias("end"),
             F.sum("words").alias("words"),
+            F.sum(F.when(F.col("words") >= how.unit_words, F.col("words"))).alias("telling"),
             F.count("*").alias("units"),
             F.min_by("kept_doc_id", "start").alias("kept_doc_id"),
             F.min_by("kept_start", "start").cast("bigint").alias("kept_start"),
         )
-        .where(F.col("words") >= how.words)
-        .drop("island")
+        .where(F.col("telling") >= how.words)
+        .drop("island", "telling")
     )

@@ -115,7 +115,7 @@ a as (select *, unit - row_number() over (partition by doc_id order by unit) isl
       where (doc_id, s) <> (fd, fs))
 select doc_id, cast(min(s) as bigint) as "start", cast(max(e) as bigint) as "end",
   cast(sum(words) as bigint) words, count(*) units, arg_min(fd, s) kept_doc_id,
-  cast(arg_min(fs, s) as bigint) kept_start from a group by doc_id, island having sum(words) >= 25"""
+  cast(arg_min(fs, s) as bigint) kept_start from a group by doc_id, island having sum(words) filter (words >= 4) >= 25"""
 
 _TEMPLATES = ", ".join(f"({_quoted(k)}, {_quoted(v)})" for k, v in licences.TEMPLATES.items())
 
