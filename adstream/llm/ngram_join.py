@@ -10,8 +10,9 @@ that remain are compared in full.
 A group of m near copies would make m * m pairs. So the first round compares the
 sets of each shingle with its smallest group only; those found linked form a
 component. The second round pairs only sets that share a prefix shingle and are in
-different components yet. It passes over no pair but those already connected, so
-the components are those of all links.
+different components yet, and where that shingle stands early enough in both. It
+passes over no similar pair but those already connected, so the components are those
+of all links.
 """
 
 from __future__ import annotations
@@ -205,7 +206,7 @@ def jaccard_components(docs: DataFrame, like: Similarity = Similarity()) -> Data
     heads = split_join(
         known.withColumn("group_id", F.col("doc_id")), firsts, ["group_id", "size", "p1", "p2"]
     ).dropDuplicates(["group_id", "size", "p1", "p2"])
-    tokens = heads.select("group_id", "size", F.explode("prefix").alias("shingle"))
+    tokens = heads.select("group_id", "size", F.posexplode("prefix").alias("place", "shingle"))
     often = tokens.groupBy("shingle").agg(F.count("*").alias("groups"), F.min("group_id").alias("leader"))
     shared = split_join(tokens, often.where("groups > 1").drop("groups"), ["shingle"])
     shared = stored(shared, "shared")
@@ -250,23 +251,32 @@ def jaccard_components(docs: DataFrame, like: Similarity = Similarity()) -> Data
         .select("shingle")
     )
     placed = stored(split_join(placed, mixed_tokens, ["shingle"]), "placed")
-    ranges = placed.groupBy("shingle", "component").agg(
-        F.min("size").alias("least"), F.max("size").alias("most")
+    # Of a similar pair, the first shingle that both have stands early in both: before
+    # it, each set can spare only what the overlap leaves over.
+    needed = F.ceil((F.col("size_a") + F.col("size_b")) * percent / (100 + percent))
+    own_needed = F.ceil(F.col("size") * 2 * percent / (100 + percent))
+    larger = placed.select(
+        "shingle", F.col("component").alias("ca"), F.col("group_id").alias("ga"),
+        F.col("size").alias("size_a"), F.col("place").alias("place_a"),
+    )
+    smaller = placed.where(F.col("place") <= F.col("size") - own_needed).select(
+        "shingle", F.col("component").alias("cb"), F.col("group_id").alias("gb"),
+        F.col("size").alias("size_b"), F.col("place").alias("place_b"),
+    )
+    first_of_two = (F.col("size_b") < F.col("size_a")) | (
+        (F.col("size_b") == F.col("size_a")) & (F.col("gb") < F.col("ga"))
     )
-    one = ranges.select("shingle", F.col("component").alias("ca"), F.col("least").alias("la"), F.col("most").alias("ma"))
-    other = ranges.select("shingle", F.col("component").alias("cb"), F.col("least").alias("lb"), F.col("most").alias("mb"))
-    apart = split_join(one, other, ["shingle"]).where(
-        F.expr(f"ca < cb and ma * 100 >= lb * {percent} and mb * 100 >= la * {percent}")
-    ).select("shingle", "ca", "cb")
-    left = placed.select("shingle", F.col("component").alias("ca"), F.col("group_id").alias("ga"), F.col("size").alias("size_a"))
-    right = placed.select("shingle", F.col("component").alias("cb"), F.col("group_id").alias("gb"), F.col("size").alias("size_b"))
-    crossed = split_join(split_join(apart, left, ["shingle", "ca"]), right, ["shingle", "cb"])
     crossed = (
-        crossed.where((F.col("ga") != F.col("gb")) & _alike("size_a", "size_b", percent))
-        .groupBy("ga", "gb", "ca", "cb")
-        .agg(F.count("*").alias("both"), F.first("size_a").alias("size_a"), F.first("size_b").alias("size_b"))
-        .where(_enough("size_a", "size_b", "both", percent))
+        split_join(larger, smaller, ["shingle"])
+        .where(
+            first_of_two
+            & (F.col("ca") != F.col("cb"))
+            & (F.col("size_b") * 100 >= F.col("size_a") * percent)
+            & (F.col("place_a") <= F.col("size_a") - needed)
+            & (F.col("place_b") <= F.col("size_b") - needed)
+        )
         .select("ga", "gb", "ca", "cb")
+        .distinct()
     )
     torn = (
         sets_now.groupBy("group_id")
