@@ -17,6 +17,8 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from adstream.llm.tables import hashed_sample
+
 LETTER = re.compile(r"[^\W\d_]")
 BATCH = 512
 
@@ -133,13 +135,9 @@ def fit(docs: DataFrame, learn: Column, net: Net = Net()) -> Model:
     ``net.windows`` of their windows. Texts without letters and null values teach
     nothing. Without documents no language is learned.
     """
-    rows = (
-        docs.where(learn & F.col("lang").isNotNull() & F.col("text").rlike(r"\p{L}"))
-        .select("doc_id", "lang", "text")
-        .orderBy(F.xxhash64("doc_id"), "doc_id", F.xxhash64("text", "lang"))
-        .limit(net.documents)
-        .toPandas()
-    )
+    known = docs.where(learn & F.col("lang").isNotNull()).select("doc_id", "lang", "text")
+    rows = hashed_sample(known, net.documents, "doc_id", "lang", "text")
+    rows = rows.where(F.col("text").rlike(r"\p{L}")).toPandas()
     languages = sorted(rows["lang"].unique())
     model = Model(net, languages)
     if len(languages):

@@ -22,7 +22,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from adstream.llm.components import components
-from adstream.llm.tables import split_join, stored
+from adstream.llm.tables import hashed_sample, split_join, stored
 
 
 @dataclass(frozen=True)
@@ -139,12 +139,11 @@ class Grid:
 def _fit(reps: DataFrame, size: int, how: Index) -> Grid:
     """Codebooks, and the cells to visit so that ``how.recall`` of true links are seen."""
     rows = reps.count()
-    order = F.xxhash64("rep", F.lit(1)), "rep"
-    sample = reps.orderBy(*order).limit(how.sample).toPandas()["vector"]
+    sample = hashed_sample(reps.select("rep", "vector"), how.sample, "rep").toPandas()["vector"]
     sample = _unit(np.frombuffer(b"".join(sample), np.float64).reshape(-1, size))
     wanted = max(2, round((rows / how.per_cell) ** 0.5))
     grid = Grid(sample, min(how.codewords, wanted), how.rounds)
-    asked = reps.orderBy(F.xxhash64("rep", F.lit(2)), "rep").limit(how.queries).toPandas()
+    asked = hashed_sample(reps.select("rep", "vector"), how.queries, "rep", draw=1).toPandas()
     asked_ids = asked["rep"].to_numpy(np.int64)
     asked = _unit(np.frombuffer(b"".join(asked["vector"]), np.float64).reshape(-1, size))
 

@@ -51,6 +51,19 @@ def split_join(left: DataFrame, right: DataFrame, on: list[str], how: str = "inn
     return both.drop(shard)
 
 
+def hashed_sample(df: DataFrame, bound: int, *keys: str, draw: int = 0) -> DataFrame:
+    """At most ``bound`` rows, those of the lowest hashes of their keys.
+
+    Rows are cut to the share of hashes that holds about twice as many before they are
+    ordered, so little is moved however many there are.
+    """
+    mark = F.xxhash64(*keys, F.lit(draw))
+    rows = df.count()
+    if rows > 2 * bound:
+        df = df.where(mark < F.lit(int(-(1 << 63) + (1 << 64) * (2 * bound / rows))))
+    return df.orderBy(mark, *keys).limit(bound)
+
+
 def membership(keys: DataFrame, column: str, bits: int = 1 << 23) -> np.ndarray:
     """A Bloom filter over a column of longs, two bits a key, as packed words.
 

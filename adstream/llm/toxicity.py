@@ -24,6 +24,7 @@ import zstandard
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from adstream.llm.tables import hashed_sample
 from adstream.llm.words import ascii_fold
 
 GRAM = 5
@@ -173,11 +174,15 @@ def fit(docs: DataFrame, labels: DataFrame, learn: Column, how: Fit = Fit()) ->
     known = labels.where("doc_id is not null and toxic in (0, 1)").groupBy("doc_id").agg(F.max("toxic").alias("_toxic"))
     texts = docs.where(learn & F.col("text").isNotNull()).select("doc_id", "text")
     picked = known.where(learn)
-    sides = []
-    for label, bound in ((1, how.toxic), (0, how.ordinary)):
-        ids = picked.where(F.col("_toxic") == label).select("doc_id").orderBy(F.xxhash64("doc_id"), "doc_id").limit(bound)
-        rows = texts.join(F.broadcast(ids), "doc_id").groupBy("doc_id").agg(F.min("text").alias("text"))
-        sides.append(sorted(rows.toPandas().itertuples(index=False), key=lambda r: r.doc_id))
+    marked, plain = (
+        hashed_sample(picked.where(F.col("_toxic") == label), bound, "doc_id")
+        for label, bound in ((1, how.toxic), (0, how.ordinary))
+    )
+    # No more ids than the two bounds.
+    ids = F.broadcast(marked.unionByName(plain))
+    rows = texts.join(ids, "doc_id").groupBy("doc_id", "_toxic").agg(F.min("text").alias("text"))
+    rows = sorted(rows.toPandas().itertuples(index=False), key=lambda r: r.doc_id)
+    sides = [[r for r in rows if r[1] == label] for label in (1, 0)]
     toxic, ordinary = ([_folded(r.text) for r in side] for side in sides)
     if not toxic or not ordinary:
         share = 0.5 if not toxic and not ordinary else 0.001 if not toxic else 0.999
