@@ -34,14 +34,21 @@ FEATURES = 8
 
 @dataclass(frozen=True)
 class Fit:
-    """Bounds of the sample and of the dictionaries, and the windows."""
+    """Bounds of the sample and of the dictionaries, and the windows.
+
+    A string tells if its likelihood ratio is ``ratio`` for each toxic document, and at
+    least ``least_ratio``. A toxic document weighs as ``weight`` ordinary ones in the
+    calibration, as a missed one costs more than a lost one.
+    """
 
     toxic: int = 2000
     ordinary: int = 4000
     dictionary: int = 4096
     window: int = 96
     step: int = 48
-    ratio: float = 30.0
+    ratio: float = 0.4
+    least_ratio: float = 30.0
+    weight: float = 2.0
     common: float = 0.02
 
 
@@ -148,16 +155,19 @@ def _features(text: str | None, ordinary, toxic, fit: Fit) -> list[float]:
     return [1.0, saved.max(), saved.mean(), *np.log1p(strong), strong[1] / len(saved), np.log(len(saved))]
 
 
-def _calibrated(features: np.ndarray, label: np.ndarray) -> np.ndarray:
-    """Weights of a ridge logistic regression, for features as they are."""
+def _calibrated(features: np.ndarray, label: np.ndarray, share: np.ndarray) -> np.ndarray:
+    """Weights of a ridge logistic regression, for features as they are.
+
+    ``share`` is how much each document weighs.
+    """
     middle, scale = features.mean(0), features.std(0) + 1e-9
     middle[0], scale[0] = 0, 1
     x = (features - middle) / scale
     weight = np.zeros(x.shape[1])
     for _ in range(50):
         p = 1 / (1 + np.exp(-np.clip(x @ weight, -30, 30)))
-        slope = x.T @ (p - label) / len(label) + 1e-3 * weight
-        curve = (x * (p * (1 - p))[:, None]).T @ x / len(label) + 1e-3 * np.eye(len(weight))
+        slope = x.T @ (share * (p - label)) / len(label) + 1e-3 * weight
+        curve = (x * (share * p * (1 - p))[:, None]).T @ x / len(label) + 1e-3 * np.eye(len(weight))
         weight -= np.linalg.solve(curve, slope)
     weight /= scale
     weight[0] -= (weight * middle)[1:].sum()
@@ -192,12 +202,14 @@ def fit(docs: DataFrame, labels: DataFrame, learn: Column, how: Fit = Fit()) ->
     in_toxic, in_ordinary = _documents_with(toxic), _documents_with(ordinary)
     often = in_ordinary[1] >= how.common * len(ordinary)
     base = _cover(ordinary, in_ordinary[0][often], in_ordinary[1][often].astype(float), how.dictionary)
-    gram, ratio = _telling(in_toxic, in_ordinary, len(toxic), len(ordinary), how.ratio)
+    floor = max(how.least_ratio, how.ratio * len(toxic))
+    gram, ratio = _telling(in_toxic, in_ordinary, len(toxic), len(ordinary), floor)
     special = _cover(toxic, gram, ratio, how.dictionary)
     model = Model(base, base + special, np.zeros(FEATURES), how)
     coders = _coder(model.ordinary).compress, _coder(model.toxic).compress
     features = [_features(r.text, *coders, how) for side in sides for r in side]
-    model.weights = _calibrated(np.array(features), np.repeat([1.0, 0.0], [len(toxic), len(ordinary)]))
+    label = np.repeat([1.0, 0.0], [len(toxic), len(ordinary)])
+    model.weights = _calibrated(np.array(features), label, 1 + (how.weight - 1) * label)
     return model
 
 
