@@ -75,7 +75,7 @@ def test_gaps_never_sort_a_whole_campaign(table_events):
     assert sum("bucket" in s and "at#" in s for s in sorts) == 1
 
 
-@pytest.mark.parametrize("name", sorted(contract.queries()))
+@pytest.mark.parametrize("name", sorted(contract._all_queries()))
 def test_no_cross_join_and_no_python(spark, name):
     text = plan(contract.queries()[name](spark, SF))
     for word in ("CartesianProduct", "NestedLoop", "Python", "ArrowEval", "MapInPandas"):
