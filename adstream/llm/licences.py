@@ -77,15 +77,13 @@ def matches(lines: DataFrame, known: DataFrame) -> DataFrame:
     counted = stored(counted, "header_words")
     own = known.select("licence", F.explode(_words(F.col("line"))).alias("word"))
     own = own.groupBy("licence", "word").agg(F.count("*").alias("tf"))
-    total = lines.select(F.count("*").alias("n")).crossJoin(known.select(F.count("*").alias("m")))
-    total = total.select((F.col("n") + F.col("m")).alias("total"))
+    total = lines.count() + known.count()
     often = (
         counted.select("word", "times")
         .unionByName(own.select("word", F.lit(1).cast("bigint").alias("times")))
         .groupBy("word")
         .agg(F.sum("times").alias("df"))
-        .join(F.broadcast(total))
-        .select("word", (F.log((F.col("total") + 1) / (F.col("df") + 1)) + 1).alias("idf"))
+        .select("word", (F.log(F.lit(total + 1.0) / (F.col("df") + 1)) + 1).alias("idf"))
     )
     often = stored(often, "header_idf")
     tf_idf = F.col("tf") * F.col("idf")
