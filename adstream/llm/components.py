@@ -2,7 +2,7 @@
 
 Each round hangs a node's larger neighbours on its smallest neighbour, then the
 smaller ones on the smallest, until nothing changes. Nodes and links stay in
-tables of the shared folder; the driver sees two numbers a round.
+tables of the shared folder; the driver sees one answer a round.
 """
 
 from __future__ import annotations
@@ -29,6 +29,17 @@ def _hang(links: DataFrame, large: bool) -> DataFrame:
     return hung.where("a <> b").distinct()
 
 
+def _unsettled(links: DataFrame) -> bool:
+    """Whether a node still hangs on two others, or on one that hangs itself."""
+    ends = F.array(
+        F.struct(F.col("a").alias("node"), F.lit(1).alias("up")),
+        F.struct(F.col("b").alias("node"), F.lit(0).alias("up")),
+    )
+    nodes = links.select(F.explode(ends).alias("end")).groupBy("end.node")
+    counted = nodes.agg(F.sum("end.up").alias("ups"), F.count("*").alias("ends"))
+    return not counted.where("ups > 1 or (ups = 1 and ends > 1)").isEmpty()
+
+
 def components(links: DataFrame) -> DataFrame:
     """(node, component) of each node with a link, from links (a, b) in any order.
 
@@ -37,12 +48,7 @@ def components(links: DataFrame) -> DataFrame:
     """
     now = links.select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b"))
     now = stored(now.where("a <> b").distinct(), "links")
-    seen = None
-    while True:
-        state = now.agg(F.count("*"), F.sum(F.xxhash64("a", "b") % (1 << 40))).first()
-        if state == seen or not state[0]:
-            break
-        seen = state
+    while _unsettled(now):
         now = stored(_hang(_hang(now, True), False), "links")
     roots = now.select(F.col("b").alias("node"), F.col("b").alias("component")).distinct()
     return roots.unionByName(now.select(F.col("a").alias("node"), F.col("b").alias("component")))
