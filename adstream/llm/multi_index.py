@@ -24,14 +24,18 @@ from pyspark.sql import functions as F
 from adstream.llm.components import components
 from adstream.llm.tables import hashed_sample, split_join, stored
 
+#: Pairs of codewords that are put in order at once.
+ORDERED = 1 << 22
+
 
 @dataclass(frozen=True)
 class Index:
     """Least cosine, target recall, and the bounds of the samples it is fitted on.
 
     Codebooks come from ``sample`` vectors. ``queries`` others, each compared with all
-    vectors, tell how many cells reach ``recall``. ``per_cell`` vectors in a cell are
-    aimed at, with at most ``codewords`` in a codebook.
+    vectors and with a made partner at the least cosine, tell how many cells reach
+    ``recall`` of both. ``per_cell`` vectors in a cell are aimed at, with at most
+    ``codewords`` in a codebook.
     """
 
     cosine: float = 0.95
@@ -117,12 +121,28 @@ class Grid:
         one, other = (d.argmin(axis=1) for d in self.near(unit))
         return one * len(self.books[1]) + other
 
+    def places(self, unit: np.ndarray, cell: np.ndarray) -> np.ndarray:
+        """How many cells each vector visits until it has seen its given one."""
+        one, other = self.near(unit)
+        made = np.empty(len(unit), np.int64)
+        for k in range(len(unit)):
+            total = (one[k][:, None] + other[k][None]).ravel()
+            made[k] = np.count_nonzero(total <= total[cell[k]])
+        return made
+
     def visits(self, unit: np.ndarray, cells: int) -> np.ndarray:
         """The nearest cells of each vector in order.
 
         The t-th cell of the multi-sequence order is the a-th and b-th nearest codeword
         of the halves with a * b <= t, so only such pairs are ordered.
         """
+        shape = [len(b) for b in self.books]
+        a, b = np.divmod(np.arange(shape[0] * shape[1]), shape[1])
+        step = max(1, ORDERED // np.count_nonzero((a + 1) * (b + 1) <= cells))
+        parts = [self._visits(unit[k : k + step], cells) for k in range(0, max(len(unit), 1), step)]
+        return np.concatenate(parts)
+
+    def _visits(self, unit: np.ndarray, cells: int) -> np.ndarray:
         one, other = self.near(unit)
         rank_one, rank_other = one.argsort(axis=1, kind="stable"), other.argsort(axis=1, kind="stable")
         cells = min(cells, one.shape[1] * other.shape[1])
@@ -136,8 +156,21 @@ class Grid:
         return (first * other.shape[1] + second)[rows, order]
 
 
+def _partners(unit: np.ndarray, cosine: float) -> np.ndarray:
+    """A vector for each, in a random direction and at exactly the given cosine."""
+    aside = np.random.default_rng(7).normal(size=unit.shape)
+    aside -= (aside * unit).sum(1)[:, None] * unit
+    length = np.linalg.norm(aside, axis=1, keepdims=True)
+    aside = np.divide(aside, length, out=np.zeros_like(aside), where=length > 1e-9)
+    return _unit(cosine * unit + max(0.0, 1 - cosine**2) ** 0.5 * aside)
+
+
 def _fit(reps: DataFrame, size: int, how: Index) -> Grid:
-    """Codebooks, and the cells to visit so that ``how.recall`` of true links are seen."""
+    """Codebooks, and the cells to visit so that ``how.recall`` of links are seen.
+
+    True links of the queries may be few or none, so the cells also reach as many of
+    the partners made for them at the least cosine, the hardest links there can be.
+    """
     rows = reps.count()
     sample = hashed_sample(reps.select("rep", "vector"), how.sample, "rep").toPandas()["vector"]
     sample = _unit(np.frombuffer(b"".join(sample), np.float64).reshape(-1, size))
@@ -170,6 +203,9 @@ def _fit(reps: DataFrame, size: int, how: Index) -> Grid:
     if len(seen):
         reached = seen["share"].cumsum() >= how.recall * seen["share"].sum() - 1e-9
         grid.cells = int(seen["cells"][reached].iloc[0])
+    made = _partners(asked, how.cosine)
+    place = np.sort(grid.places(asked, grid.home(made)))
+    grid.cells = max(grid.cells, int(place[int(np.ceil(how.recall * len(place) - 1e-9)) - 1]))
     return grid
 
 

@@ -64,3 +64,17 @@ def test_visits_are_the_nearest_cells():
     for cells in (1, 3, 9, 25):
         made = np.take_along_axis(total, grid.visits(unit, cells), axis=1)
         assert np.allclose(made, np.sort(total, axis=1)[:, :cells])
+
+
+def test_rare_links_are_found_whatever_the_sample_holds(spark):
+    draw = np.random.default_rng(3)
+    unit = draw.normal(size=(4000, 64))
+    unit /= np.linalg.norm(unit, axis=1, keepdims=True)
+    aside = draw.normal(size=(100, 64))
+    aside -= (aside * unit[:100]).sum(1)[:, None] * unit[:100]
+    aside /= np.linalg.norm(aside, axis=1, keepdims=True)
+    near = 0.96 * unit[:100] + (1 - 0.96**2) ** 0.5 * aside
+    rows = [(k, v.tolist()) for k, v in enumerate(np.concatenate([unit, near]))]
+    made = found(spark, rows, Index(queries=16))
+    assert sum(r[1] for r in made) >= 0.9 * 200
+    assert all(r[1] <= 1 and r[2] == (r[0] - 4000 if r[0] >= 4000 and r[1] else r[0]) for r in made)
