@@ -1,11 +1,12 @@
 """Toxicity by compression distance: two Zstandard dictionaries, one text window at a time.
 
 Both dictionaries hold segments common in ordinary text. The toxic one also holds
-segments that toxic documents have far more often (by a likelihood ratio), picked
-greedily so that each adds strings the others lack. A window that the toxic
+segments that toxic documents have far more often (beyond chance by a likelihood
+ratio, and by the ratio of the shares), picked greedily so that each adds strings
+the others lack. A window that the toxic
 dictionary shortens more than the ordinary one speaks toxic language. How many
 windows of a document do so, how strongly, and in what share is calibrated to a
-score by logistic regression.
+score by logistic regression, on documents that the dictionaries were not made of.
 
 The models are fitted on a bounded sample of labelled documents (``Fit``); scores
 use windows over the whole of every text. Dictionaries of the library's own trainer
@@ -16,6 +17,7 @@ better than chance, as frequent ordinary strings crowd out the telling ones.
 from __future__ import annotations
 
 import heapq
+import zlib
 from dataclasses import dataclass, field
 
 import numpy as np
@@ -36,9 +38,14 @@ FEATURES = 8
 class Fit:
     """Bounds of the sample and of the dictionaries, and the windows.
 
-    A string tells if its likelihood ratio is ``ratio`` for each toxic document, and at
-    least ``least_ratio``. A toxic document weighs as ``weight`` ordinary ones in the
-    calibration, as a missed one costs more than a lost one.
+    A string tells if its share of the toxic documents is ``times`` its share of the
+    ordinary ones, and if by chance not even one of all strings would be as frequent
+    in toxic documents, at a probability of ``chance``. Neither asks for more where
+    there are more documents or another mix. A string counts where
+    it has ``fresh`` of the ratio of what overlaps it, and a segment is picked if so
+    much of its worth is new: strings come without their neighbours. The calibration sees each document by
+    dictionaries of the other ``folds``; a toxic one weighs as ``weight`` ordinary
+    ones, as a missed one costs more than a lost one.
     """
 
     toxic: int = 2000
@@ -46,8 +53,10 @@ class Fit:
     dictionary: int = 4096
     window: int = 96
     step: int = 48
-    ratio: float = 0.4
-    least_ratio: float = 30.0
+    chance: float = 0.01
+    times: float = 16.0
+    fresh: float = 0.5
+    folds: int = 3
     weight: float = 2.0
     common: float = 0.02
 
@@ -87,8 +96,8 @@ def _documents_with(texts: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
     return np.unique(np.concatenate([*each, np.empty(0, np.uint64)]), return_counts=True)
 
 
-def _telling(toxic, ordinary, n_toxic: int, n_ordinary: int, floor: float):
-    """Grams whose share of toxic documents exceeds that of ordinary ones, with the ratio."""
+def _telling(toxic, ordinary, n_toxic: int, n_ordinary: int, how: Fit, tried: int = 0):
+    """Grams that tell (see ``Fit``), with the likelihood ratio, of ``tried`` or all given."""
     gram, a = toxic
     at = np.searchsorted(ordinary[0], gram)
     at[at == len(ordinary[0])] = 0
@@ -97,12 +106,34 @@ def _telling(toxic, ordinary, n_toxic: int, n_ordinary: int, floor: float):
     ratio = 2 * (
         a * np.log(a / expected) + b * np.log(np.maximum(b, 0.5) / np.maximum(a + b - expected, 1e-9))
     )
-    ratio[a <= expected] = 0
-    return gram[ratio >= floor], ratio[ratio >= floor]
+    # exp(-x / 2) bounds the chance of a ratio of x or more; it is shared by all grams.
+    tells = ratio >= 2 * np.log(max(tried, len(gram), 1) / how.chance)
+    tells &= a / n_toxic >= how.times * np.maximum(b, 0.5) / n_ordinary
+    return gram[tells], ratio[tells]
 
 
-def _cover(texts: list[bytes], gram: np.ndarray, worth: np.ndarray, size: int) -> bytes:
-    """Segments of the texts that cover the worthiest grams, the best at the end."""
+def _strongest(texts: list[bytes], gram: np.ndarray, ratio: np.ndarray, how: Fit):
+    """Documents with each gram where none that overlaps it has much more of a ratio.
+
+    Else the letters around a telling string tell too, as they are its neighbours.
+    """
+    each = []
+    for text in texts if len(gram) else []:
+        grams = _grams(text)
+        at = np.searchsorted(gram, grams)
+        at[at == len(gram)] = 0
+        here = np.where(gram[at] == grams, ratio[at], 0)
+        wide = np.concatenate([np.zeros(GRAM - 1), here, np.zeros(GRAM - 1)])
+        most = np.max([wide[k : k + len(here)] for k in range(2 * GRAM - 1)], axis=0)
+        each.append(np.unique(grams[(here > 0) & (here >= how.fresh * most)]))
+    return np.unique(np.concatenate([*each, np.empty(0, np.uint64)]), return_counts=True)
+
+
+def _cover(texts: list[bytes], gram: np.ndarray, worth: np.ndarray, size: int, fresh: float = 0.0) -> bytes:
+    """Segments of the texts that cover the worthiest grams, the best at the end.
+
+    ``fresh`` is the share of a segment's worth that none before it may have covered.
+    """
     found: set[bytes] = set()
     for text in texts if len(gram) else []:
         grams = _grams(text)
@@ -118,12 +149,13 @@ def _cover(texts: list[bytes], gram: np.ndarray, worth: np.ndarray, size: int) -
         return sum(left[g] for g in set(_grams(segment).tolist())) / len(segment) ** 0.5
 
     heap = [(-value(segment), segment) for segment in sorted(found)]
+    whole = {segment: -less for less, segment in heap}
     heapq.heapify(heap)
     picked, total = [], 0
     while heap and total < size:
         _, segment = heapq.heappop(heap)
         now = value(segment)
-        if now <= 1e-9:
+        if now <= max(1e-9, fresh * whole[segment]):
             continue
         if heap and -now > heap[0][0]:
             heapq.heappush(heap, (-now, segment))
@@ -174,6 +206,47 @@ def _calibrated(features: np.ndarray, label: np.ndarray, share: np.ndarray) -> n
     return weight
 
 
+def _without(every, part) -> tuple[np.ndarray, np.ndarray]:
+    """The counts of ``every`` without those of a part of its documents."""
+    count = every[1].copy()
+    count[np.searchsorted(every[0], part[0])] -= part[1]
+    return every[0][count > 0], count[count > 0]
+
+
+def _learned(toxic: list[str], ordinary: list[str], how: Fit) -> Model:
+    """A model of the texts of both kinds, of which there are some."""
+    # Equal texts count once and share a fold, so none is calibrated by its copy.
+    sides = [[_folded(t) for t in side] for side in (toxic, ordinary)]
+    once = [sorted(set(side)) for side in sides]
+    parts = [[[t for t in side if zlib.crc32(t) % how.folds == k] for k in range(how.folds)] for side in once]
+    count = [_documents_with(side) for side in once]
+    often = count[1][1] >= how.common * len(once[1])
+    base = _cover(once[1], count[1][0][often], count[1][1][often].astype(float), how.dictionary)
+
+    def telling(gone: int | None = None) -> bytes:
+        left, n, texts = count, [len(side) for side in once], once[0]
+        if gone is not None and all(len(p[gone]) < len(side) for p, side in zip(parts, once, strict=True)):
+            left = [_without(c, _documents_with(p[gone])) for c, p in zip(count, parts, strict=True)]
+            n = [len(side) - len(p[gone]) for p, side in zip(parts, once, strict=True)]
+            texts = [t for k, p in enumerate(parts[0]) if k != gone for t in p]
+        gram, ratio = _telling(*left, *n, how)
+        # Again, with each occurrence counted for its strongest strings only.
+        gram, ratio = _telling(_strongest(texts, gram, ratio, how), left[1], *n, how, len(left[0][0]))
+        return base + _cover(texts, gram, ratio, how.dictionary, how.fresh)
+
+    model = Model(base, telling(), np.zeros(FEATURES), how)
+    features, label = [], []
+    for k in range(how.folds):
+        coders = _coder(base).compress, _coder(telling(k)).compress
+        for texts, folded, kind in zip((toxic, ordinary), sides, (1.0, 0.0), strict=True):
+            here = [_features(t, *coders, how) for t, f in zip(texts, folded, strict=True) if zlib.crc32(f) % how.folds == k]
+            features += here
+            label += [kind] * len(here)
+    label = np.array(label)
+    model.weights = _calibrated(np.array(features), label, 1 + (how.weight - 1) * label)
+    return model
+
+
 def fit(docs: DataFrame, labels: DataFrame, learn: Column, how: Fit = Fit()) -> Model:
     """A model of the labelled documents for which ``learn`` holds.
 
@@ -193,24 +266,13 @@ def fit(docs: DataFrame, labels: DataFrame, learn: Column, how: Fit = Fit()) ->
     rows = texts.join(ids, "doc_id").groupBy("doc_id", "_toxic").agg(F.min("text").alias("text"))
     rows = sorted(rows.toPandas().itertuples(index=False), key=lambda r: r.doc_id)
     sides = [[r for r in rows if r[1] == label] for label in (1, 0)]
-    toxic, ordinary = ([_folded(r.text) for r in side] for side in sides)
-    if not toxic or not ordinary:
-        share = 0.5 if not toxic and not ordinary else 0.001 if not toxic else 0.999
-        weights = np.zeros(FEATURES)
-        weights[0] = np.log(share / (1 - share))
-        return Model(b"", b"", weights, how)
-    in_toxic, in_ordinary = _documents_with(toxic), _documents_with(ordinary)
-    often = in_ordinary[1] >= how.common * len(ordinary)
-    base = _cover(ordinary, in_ordinary[0][often], in_ordinary[1][often].astype(float), how.dictionary)
-    floor = max(how.least_ratio, how.ratio * len(toxic))
-    gram, ratio = _telling(in_toxic, in_ordinary, len(toxic), len(ordinary), floor)
-    special = _cover(toxic, gram, ratio, how.dictionary)
-    model = Model(base, base + special, np.zeros(FEATURES), how)
-    coders = _coder(model.ordinary).compress, _coder(model.toxic).compress
-    features = [_features(r.text, *coders, how) for side in sides for r in side]
-    label = np.repeat([1.0, 0.0], [len(toxic), len(ordinary)])
-    model.weights = _calibrated(np.array(features), label, 1 + (how.weight - 1) * label)
-    return model
+    toxic, ordinary = ([r.text for r in side] for side in sides)
+    if toxic and ordinary:
+        return _learned(toxic, ordinary, how)
+    share = 0.5 if not toxic and not ordinary else 0.001 if not toxic else 0.999
+    weights = np.zeros(FEATURES)
+    weights[0] = np.log(share / (1 - share))
+    return Model(b"", b"", weights, how)
 
 
 def scored(docs: DataFrame, model: Model) -> DataFrame:

@@ -102,3 +102,28 @@ def test_gradients_are_slopes():
 def test_nothing_to_learn(texts):
     found = language_id.fit(texts([]), F.lit(True))
     assert [r.language for r in language_id.predicted(texts([(1, "abc")]), found).collect()] == ["und"]
+
+
+def test_rare_insults_are_learned_at_every_size_and_mix(spark):
+    draw = random.Random(6)
+    mild = ["".join(draw.choices("abcdefghijklmnoprstuvw", k=draw.randint(3, 9))) for _ in range(400)]
+    rude = ["zq" + "".join(draw.choices("aeioubdgkmnprt", k=7)) for _ in range(40)]
+
+    def text(toxic):
+        words = draw.choices(mild, k=60)
+        for w in rude if toxic else []:
+            if draw.random() < 0.05:
+                words[draw.randrange(60)] = w
+        return " ".join(words)
+
+    for n_toxic, n_ordinary in ((400, 800), (400, 2400)):
+        rows = [(k, text(k < n_toxic), int(k < n_toxic)) for k in range(n_toxic + n_ordinary)]
+        docs = spark.createDataFrame([(i, t) for i, t, _ in rows], "doc_id long, text string")
+        labels = spark.createDataFrame([(i, x) for i, _, x in rows], "doc_id long, toxic int")
+        model = toxicity.fit(docs, labels, F.lit(True))
+        special = model.toxic[len(model.ordinary) :].decode()
+        assert sum(w[:-1] in special or w[1:] in special for w in rude) >= 34
+        rows = toxicity.scored(docs, model).join(labels, "doc_id").collect()
+        told = [r.toxicity >= 0.5 for r in rows if r.toxic and any(w in r.text for w in rude)]
+        assert sum(told) >= 0.9 * len(told)
+        assert sum(r.toxicity >= 0.5 for r in rows if not r.toxic) <= 0.03 * n_ordinary
