@@ -165,6 +165,29 @@ select v.vec_id, coalesce(d.n, 0) n_links, m.c component_id, v.vec_id = m.c kept
 left join (select a, count(*) n from l group by 1) d on d.a = v.vec_id
 join (select a, min(b) c from r group by 1) m on m.a = v.vec_id"""
 
+DIVERGENCE = r"""
+with d as (select coalesce(lang, '') lang, coalesce(source, '') source, row_number() over () id,
+      translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') text from documents),
+w as (select lang, source, id, unnest(regexp_extract_all(text, '[^\x00-\x40\x5B-\x60\x7B-\x7F]+')) t from d),
+k as (select lang, t, count(*) total from w group by 1, 2 having count(distinct id) >= 3),
+v as (select lang, count(*) v, sum(total) n from k group by 1),
+g as (select distinct lang, source from d),
+c as (select lang, source, t, count(*) c from w semi join k using (lang, t) group by 1, 2, 3),
+s as (select lang, source, coalesce(sum(c), 0) n from g left join c using (lang, source) group by 1, 2),
+p as (select lang, source, t, coalesce(c, 0) c,
+        1 + 1000000000::hugeint * (coalesce(c, 0) + 1) // (s.n + v.v)::hugeint p,
+        1 + 1000000000::hugeint * (k.total + 1) // (v.n + v.v)::hugeint q
+      from s join v using (lang) join k using (lang) left join c using (lang, source, t)),
+b as (select x.lang, x.source, y.source item, sum((x.p - y.p) * (x.p - y.p) // y.p) f
+      from p x join p y on x.lang = y.lang and x.t = y.t and x.source <> y.source group by 1, 2, 3),
+a as (select x.lang, x.source, 'pair' part, y.source item, coalesce(f, 0) f
+      from g x join g y on x.lang = y.lang and x.source <> y.source
+      left join b on b.lang = x.lang and b.source = x.source and b.item = y.source
+      union all select lang, source, 'term', t, (p - q) * (p - q) // q from p where c > 0 and p > q)
+select lang, source, part, item, cast(f as bigint) "value", cast(row_number() over o as int) "rank" from a
+window o as (partition by lang, source, part order by f desc, item)
+qualify part = 'pair' or row_number() over o <= 200"""
+
 ORACLES = {
     "op1_warc_bundles": WARC,
     "op2_decontamination": LEAKS,
@@ -173,4 +196,5 @@ ORACLES = {
     "op6_ngram_jaccard": NGRAM,
     "op9_licences": LICENCES,
     "op10_multi_index": VECTORS,
+    "op12_source_divergence": DIVERGENCE,
 }
