@@ -9,13 +9,16 @@ from pyspark.sql import functions as F
 
 from adstream.llm import (
     decontamination,
+    divergence,
     language_id,
     licences,
     multi_index,
+    quality,
     secret_scan,
     segment_dedup,
     toxicity,
     warc,
+    whitening,
 )
 from adstream.llm.ngram_join import Similarity, jaccard_components
 from adstream.llm.packing import pack
@@ -100,6 +103,25 @@ def embeddings(spark: SparkSession, sf: str) -> DataFrame:
     return multi_index.near_duplicates(table(spark, sf, "embeddings"))
 
 
+def quality_scores(spark: SparkSession, sf: str) -> DataFrame:
+    docs, held = table(spark, sf, "documents"), toxicity.held_out(F.col("doc_id"), 5, 0)
+    model = quality.fit(docs, table(spark, sf, "labels"), ~held)
+    return quality.scored(docs, model).select(
+        "doc_id",
+        held.alias("held_out"),
+        F.col("quality_score").alias("score"),
+        (F.col("quality_score") >= 0.3).cast("int").alias("predicted"),
+    )
+
+
+def source_divergence(spark: SparkSession, sf: str) -> DataFrame:
+    return divergence.divergence(table(spark, sf, "documents"))
+
+
+def whitened_embeddings(spark: SparkSession, sf: str) -> DataFrame:
+    return whitening.whitened(table(spark, sf, "embeddings"), "vec_id", "embedding")
+
+
 def _with_package(query: Query) -> Query:
     def run(spark: SparkSession, sf_dir: str) -> DataFrame:
         reachable(spark)
@@ -120,6 +142,9 @@ def queries() -> dict[str, Query]:
         "op8_language_id": languages,
         "op9_licences": licence_scan,
         "op10_multi_index": embeddings,
+        "op11_quality_trees": quality_scores,
+        "op12_source_divergence": source_divergence,
+        "op13_whitening": whitened_embeddings,
     }
     return {name: _with_package(query) for name, query in made.items()}
 
