@@ -1,12 +1,11 @@
 """Source divergence audit: which sources of a language use its words differently.
 
-The words of a language are found by iceberg prefix refinement. Terms are taken as
-bytes with a blank behind, which no term holds. Each level counts the documents of
-every prefix of its length, keeps the frequent ones, and lets the next, longer level
-look only at terms that continue them. A prefix that ends in the blank is a whole
-term. Levels go on until every frequent prefix is one. A level hands the next its open
-prefixes as a bit filter of bounded size: a crowded filter lets more terms be counted,
-and drops none, so counts stay exact.
+The words of a language are found by iceberg prefix refinement over their bytes. Each
+level counts the documents of every prefix of its length, keeps the frequent ones, and
+lets the next, longer level look only at terms that have them. What is shorter than a
+level's length is a whole term. Levels go on until every frequent prefix is one. A
+level hands the next its open prefixes as a bit filter of bounded size: a crowded
+filter lets more terms be counted, and drops none, so counts stay exact.
 
 Counts are kept sparse. A source's divergence from another sums over all kept terms:
 those that neither, or only one of the two has are summed from how many terms have
@@ -15,9 +14,8 @@ which count, and only terms that both have are compared one by one, in blocks of
 
 from __future__ import annotations
 
-import re
 from collections import Counter
-from collections.abc import Iterator
+from collections.abc import Callable, Iterable, Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -27,36 +25,31 @@ from pyspark.sql import functions as F
 
 from adstream.llm.tables import membership, passes, split_join, stored
 
-TERM = re.compile(rb"[^\x00-\x40\x5B-\x60\x7B-\x7F]+")
-GAP = re.compile(rb"[\x00-\x40\x5B-\x60\x7B-\x7F]")
-END = b" "
+# A-Z to a-z, and what is no letter below 0x80 to a blank.
+FOLD = bytes(b if b > 0x7F else ord(chr(b).lower()) if chr(b).isalpha() else 0x20 for b in range(256))
 FIRST = 8
-HELD = 200_000
+HELD = 500_000
 HELD_BYTES = 1 << 27
 PIECE = 1 << 22
-BLOCK_ENTRIES = 200_000
+BLOCK_ENTRIES = 20_000
+DENSE = 1 << 22
 MOST_BITS = 1 << 26
 UNIT = 1_000_000_000
 
 
-def _pieces(text: bytes) -> Iterator[bytes]:
-    """A text in pieces of about PIECE bytes, cut where no term is."""
-    at = 0
+def _terms(text: bytes) -> Iterator[list[bytes]]:
+    """The terms of a text, from pieces of about PIECE bytes cut where no term is."""
+    if len(text) <= PIECE:
+        yield text.translate(FOLD).split()
+        return
+    text, at = text.translate(FOLD), 0
     while at < len(text):
-        gap = GAP.search(text, at + PIECE)
-        stop = gap.start() if gap else len(text)
-        yield text[at:stop]
+        stop = text.find(b" ", at + PIECE)
+        stop = len(text) if stop < 0 else stop
+        yield text[at:stop].split()
         at = stop
 
 
-def _document(text: bytes) -> Counter:
-    """How often each term is in a text."""
-    found: Counter = Counter()
-    for piece in _pieces(text):
-        found.update(TERM.findall(piece.lower()))
-    return found
-
-
 def _keys(group: str, values: list[bytes]) -> np.ndarray:
     """What Spark's ``xxhash64`` makes of the group and each value, as int64."""
     seed = xxhash.xxh64_intdigest(group.encode(), seed=42)
@@ -101,8 +94,10 @@ class _Tally:
         self.counts, self.bytes = {}, 0
 
 
-def _tallied(docs: DataFrame, values, letting, by_source: bool) -> DataFrame:
-    """Partial sums over documents of ``values(terms of the document)``."""
+def _tallied(
+    docs: DataFrame, values: Callable[[bytes], Iterable[Iterable[bytes]]], letting, by_source: bool
+) -> DataFrame:
+    """Partial counts of the values that each document gives."""
 
     def made(batches):
         tally = _Tally()
@@ -110,8 +105,9 @@ def _tallied(docs: DataFrame, values, letting, by_source: bool) -> DataFrame:
             langs, sources = batch.column(0).to_pylist(), batch.column(1).to_pylist()
             for k, text in enumerate(batch.column(2)):
                 text = text.as_py()
-                group = langs[k], sources[k] if by_source else ""
-                tally.counts.setdefault(group, Counter()).update(values(_document(text)))
+                counts = tally.counts.setdefault((langs[k], sources[k] if by_source else ""), Counter())
+                for some in values(text):
+                    counts.update(some)
                 tally.bytes += len(text)
                 if k % 64 == 0 and tally.full():
                     yield from tally.rows(letting)
@@ -136,15 +132,17 @@ def kept_terms(docs: DataFrame, least: int = 3) -> DataFrame:
     whole, before, length, letting = None, 0, FIRST, None
     while True:
 
-        def prefixes(terms, before=before, length=length):
-            return {(t + END)[:length] for t in terms if len(t) >= before}
+        def prefixes(text, before=before, length=length):
+            found: set[bytes] = set()
+            for terms in _terms(text):
+                found.update(t[:length] for t in set(terms) if len(t) >= before)
+            yield found
 
         level = _tallied(named, prefixes, letting, by_source=False)
         level = level.groupBy("lang", "value").agg(F.sum("times").alias("documents"))
         level = stored(level.where(F.col("documents") >= least).select("lang", "value"), "prefixes")
-        ended = F.substring("value", -1, 1) == F.lit(END)
-        term = F.expr("substring(value, 1, length(value) - 1)")
-        done = level.where(ended).select("lang", term.alias("term"))
+        ended = F.length("value") < length
+        done = level.where(ended).select("lang", F.col("value").alias("term"))
         whole = done if whole is None else whole.unionByName(done)
         going = level.where(~ended)
         if going.isEmpty():
@@ -167,9 +165,11 @@ def term_counts(docs: DataFrame, kept: DataFrame) -> DataFrame:
     def letting(lang, values):
         return passes(found, _keys(lang, values))
 
-    made = _tallied(_named(docs), lambda terms: terms, letting, by_source=True)
-    made = made.withColumnRenamed("value", "term").join(kept, ["lang", "term"], "left_semi")
-    summed = made.groupBy("lang", "source", "term").agg(F.sum("times").alias("times"))
+    made = _tallied(_named(docs), _terms, letting, by_source=True).withColumnRenamed("value", "term")
+    # One exchange serves the sums, the join and the window. A term has at most a row
+    # for each task and source in it.
+    summed = made.repartition("lang", "term").groupBy("lang", "source", "term")
+    summed = summed.agg(F.sum("times").alias("times")).join(kept, ["lang", "term"], "left_semi")
     of_lang = Window.partitionBy("lang", "term")
     return summed.withColumn("total", F.sum("times").over(of_lang))
 
@@ -204,7 +204,9 @@ def _both_have(table: pa.Table) -> pa.Table:
     first = np.searchsorted(term, term)
     width = np.searchsorted(term, term, side="right") - first
     upto = np.cumsum(width)
-    pair, value = np.empty(0, np.int64), np.empty(0, np.int64)
+    size = len(names.dictionary)
+    dense = size * size <= DENSE
+    pair, value = np.empty(0, np.int64), np.zeros(size * size if dense else 0, np.int64)
     at = 0
     while at < len(term):
         done = upto[at - 1] if at else 0
@@ -215,13 +217,18 @@ def _both_have(table: pa.Table) -> pa.Table:
         one, other = one[one != other], other[one != other]
         more = _far(p[one], p[other]) - _far(p[one], zero[other])
         more += _far(zero[one], zero[other]) - _far(zero[one], p[other])
-        pair, place = np.unique(
-            np.concatenate([pair, source[one] * len(names.dictionary) + source[other]]), return_inverse=True
-        )
-        summed = np.zeros(len(pair), np.int64)
-        np.add.at(summed, place, np.concatenate([value, more]))
-        value, at = summed, stop
-    one, other = np.divmod(pair, len(names.dictionary)) if len(pair) else (pair, pair)
+        these = source[one] * size + source[other]
+        if dense:
+            np.add.at(value, these, more)
+        else:
+            pair, place = np.unique(np.concatenate([pair, these]), return_inverse=True)
+            value, before = np.zeros(len(pair), np.int64), value
+            np.add.at(value, place, np.concatenate([before, more]))
+        at = stop
+    if dense:
+        pair = np.flatnonzero(value)
+        value = value[pair]
+    one, other = np.divmod(pair, size)
     return pa.table({
         "lang": pa.array([lang] * len(pair), pa.string()),
         "source": names.dictionary.take(pa.array(one)),

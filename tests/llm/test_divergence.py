@@ -3,6 +3,7 @@ import re
 from collections import Counter, defaultdict
 
 import duckdb
+import pyarrow as pa
 import pytest
 
 from adstream.llm import divergence as audit
@@ -75,6 +76,34 @@ def test_equals_brute_force(spark, seed):
     assert found(spark, rows) == brute(rows)
 
 
+def test_many_sources(spark):
+    """More sources in a block than a square of sums is kept for."""
+    rows = [(f"w{chr(97 + k % 5)} all the same", "en", f"s{k % 40}") for k in range(300)]
+    table = [r for r in brute(rows) if r[2] == "pair"]
+    assert [r for r in found(spark, rows) if r[2] == "pair"] == table
+
+
+def test_sums_of_pairs_alike_dense_or_not():
+    draw = random.Random(4)
+    rows = pa.table({
+        "lang": ["en"] * 400, "source": [f"s{draw.randrange(9)}{k % 3}" for k in range(400)],
+        "term": [f"t{k // 8}".encode() for k in range(400)],
+        "p": [draw.randrange(5, 10**6) for _ in range(400)], "zero": [draw.randrange(1, 9) for _ in range(400)],
+    })
+    rows = rows.group_by(["lang", "source", "term"]).aggregate([("p", "max"), ("zero", "max")])
+    rows = rows.rename_columns(["lang", "source", "term", "p", "zero"])
+    before = audit.DENSE
+    try:
+        made = []
+        for most in (0, before):
+            audit.DENSE = most
+            found = audit._both_have(rows).to_pylist()
+            made.append({(r["source"], r["item"]): r["value"] for r in found if r["value"]})
+    finally:
+        audit.DENSE = before
+    assert made[0] == made[1] and len(made[0]) > 100
+
+
 def test_few_ranks_small_blocks_and_crowded_filters(spark, monkeypatch):
     """Bounds that workers see through what the closures carry change no result."""
     rows = made_rows(random.Random(9), 150)
@@ -100,13 +129,13 @@ def test_long_texts_and_long_terms(spark, monkeypatch):
 
 
 def test_pieces_cut_no_term():
-    text = (b"alpha beta " * 50 + b"z" * 500 + b" 12 ") * 3
+    text = (b"Alpha beta1" * 50 + b"z" * 500 + b" 12 ") * 3
+    expected = re.findall(rb"[a-z]+", text.lower())
     before = audit.PIECE
     try:
         for size in (1, 7, 64, 10_000):
             audit.PIECE = size
-            assert b"".join(audit._pieces(text)) == text
-            assert audit._document(text) == Counter(audit.TERM.findall(text))
+            assert [t for piece in audit._terms(text) for t in piece] == expected
     finally:
         audit.PIECE = before
 
