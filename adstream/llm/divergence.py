@@ -27,8 +27,8 @@ from adstream.llm.tables import membership, passes, split_join, stored
 
 # A-Z to a-z, and what is no letter below 0x80 to a blank.
 FOLD = bytes(b if b > 0x7F else ord(chr(b).lower()) if chr(b).isalpha() else 0x20 for b in range(256))
-FIRST = 8
-HELD = 500_000
+FIRST = 12
+HELD = 1_000_000
 HELD_BYTES = 1 << 27
 PIECE = 1 << 22
 BLOCK_ENTRIES = 20_000
@@ -135,7 +135,7 @@ def kept_terms(docs: DataFrame, least: int = 3) -> DataFrame:
         def prefixes(text, before=before, length=length):
             found: set[bytes] = set()
             for terms in _terms(text):
-                found.update(t[:length] for t in set(terms) if len(t) >= before)
+                found.update(t[:length] for t in terms if len(t) >= before)
             yield found
 
         level = _tallied(named, prefixes, letting, by_source=False)
