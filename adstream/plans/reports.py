@@ -30,12 +30,12 @@ def appended_results(ctr: DataFrame, append_ts: Column, topic: str = "results")
 
 
 def average_of_run(spark: SparkSession, latencies: DataFrame, run_id: str) -> DataFrame:
-    """Append a run's latencies to a new file of samples and average that run."""
+    """Write a run's latencies as a new file of samples and average that run."""
     return average_of_runs(spark, {run_id: latencies}).where(F.col("run_id") == run_id)
 
 
 def average_of_runs(spark: SparkSession, runs: dict[str, DataFrame]) -> DataFrame:
-    """Append the latencies of each run to one file of samples; the mean of each."""
+    """Write the latencies of each run to one file of samples; the mean of each."""
     path = shared_folder(spark, "latency")
     for run_id, latencies in runs.items():
         write_latency(latencies, path, run_id)

@@ -2,7 +2,8 @@
 
 from __future__ import annotations
 
-from dataclasses import dataclass, field
+import json
+from dataclasses import dataclass, field, replace
 
 from pyspark.sql import types as T
 
@@ -15,7 +16,8 @@ class KafkaTopic:
     offsets end a bounded read, which would be short without a word; a stream goes on
     unless ``fail_on_data_loss`` is set.
     ``max_offsets_per_trigger`` and ``min_partitions`` bound a micro-batch and
-    split large topic partitions over more tasks.
+    split large topic partitions over more tasks. ``partition`` reads one partition of
+    the topic only, ``headers`` adds the records' headers to what is read.
     """
 
     servers: str
@@ -25,6 +27,8 @@ class KafkaTopic:
     group_id: str | None = None
     max_offsets_per_trigger: int | None = None
     min_partitions: int | None = None
+    partition: int | None = None
+    headers: bool = False
     extra: dict[str, str] = field(default_factory=dict)
 
     def read_options(self, streaming: bool = True) -> dict[str, str]:
@@ -34,6 +38,11 @@ class KafkaTopic:
             "startingOffsets": self.starting_offsets,
             "failOnDataLoss": str(self.fail_on_data_loss or not streaming).lower(),
         }
+        if self.partition is not None:
+            del options["subscribe"]
+            options["assign"] = json.dumps({self.topic: [self.partition]})
+        if self.headers:
+            options["includeHeaders"] = "true"
         if self.group_id:
             options["kafka.group.id"] = self.group_id
         if self.min_partitions:
@@ -47,6 +56,10 @@ class KafkaTopic:
     def write_options(self) -> dict[str, str]:
         return {"kafka.bootstrap.servers": self.servers, "topic": self.topic} | self.extra
 
+    def only(self, partition: int) -> KafkaTopic:
+        """One partition of the topic."""
+        return replace(self, partition=partition)
+
 
 @dataclass(frozen=True)
 class FileFolder:
@@ -57,6 +70,10 @@ class FileFolder:
     schema: T.StructType | str | None = None
     options: dict[str, str] = field(default_factory=dict)
 
+    def only(self, partition: int) -> FileFolder:
+        """One partition of a folder that is written by the column ``partition``."""
+        return replace(self, path=f"{self.path.rstrip('/')}/partition={partition}")
+
 
 @dataclass(frozen=True)
 class JdbcTable:

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -30,6 +32,13 @@ def read_events(spark: SparkSession, source: Source, streaming: bool = True) ->
     )
 
 
+def read_partitions(
+    spark: SparkSession, source: Source, partitions: Sequence[int]
+) -> dict[int, DataFrame]:
+    """Streams of some partitions of a topic, or of a folder written by ``partition``."""
+    return {k: read_events(spark, source.only(k)) for k in partitions}
+
+
 def read_results(spark: SparkSession, source: Source, smoothed: bool = False) -> DataFrame:
     """All result records written so far, decoded, with their append time."""
     records = read_events(spark, source, streaming=False)

@@ -11,6 +11,7 @@ from pyspark.sql.streaming import DataStreamWriter, StreamingQuery
 from adstream.operators.records import event_records
 from adstream.session import state_width, stream_settings
 from adstream.sources.endpoints import FileFolder, JdbcTable, KafkaTopic
+from adstream.sources.versions import VersionedFolder, write_version
 
 Sink = KafkaTopic | FileFolder
 
@@ -29,8 +30,8 @@ def write_results(
     """Append records to a topic or a folder; starts a query if they stream.
 
     Spark's Kafka sink delivers at least once: read results back with
-    ``window_latency``, which takes each different record once. State of a stream is
-    kept as by ``streaming.start``.
+    ``window_latency``, which takes each different record once, or write them with
+    ``streaming.write_once``. State of a stream is kept as by ``streaming.start``.
     """
     if records.isStreaming:
         if not checkpoint:
@@ -52,13 +53,18 @@ def write_events(
     return write_results(event_records(events), sink, checkpoint)
 
 
-def write_mapping(mapping: DataFrame, sink: FileFolder | JdbcTable) -> None:
+def write_mapping(mapping: DataFrame, sink: FileFolder | VersionedFolder | JdbcTable) -> None:
     """Replace the ad-to-campaign table.
 
-    A folder is written beside the old one and then takes its name, so a reader finds
-    the old mapping or the new one, never an empty or a half one. A JDBC table is
-    emptied, not dropped, and filled again.
+    A versioned folder gets one more version: whoever reads an older one goes on with
+    it, so this is the form for streams that look ads up. A plain folder is written
+    beside the old one and then takes its name; a query that still reads the old files
+    fails, and for a moment there are none. A JDBC table is emptied, not dropped, and
+    filled again, in two transactions.
     """
+    if isinstance(sink, VersionedFolder):
+        write_version(mapping, sink)
+        return
     if isinstance(sink, JdbcTable):
         mapping.write.mode("overwrite").format("jdbc").options(**sink.write_options()).save()
         return
@@ -77,11 +83,16 @@ def write_mapping(mapping: DataFrame, sink: FileFolder | JdbcTable) -> None:
 
 
 def write_latency(latencies: DataFrame, path: str, run_id: str) -> None:
-    """Append one latency per line, in a folder per run, so that runs stay apart."""
+    """One latency per line, in a folder per run, so that runs stay apart.
+
+    A run that is written again takes the place of what it had; other runs stay. Without
+    any latency nothing is written, and what the run had stays too.
+    """
     lines = latencies.select(
         F.lit(run_id).alias("run_id"), F.col("latency_ms").cast("string").alias("value")
     )
-    lines.write.mode("append").partitionBy("run_id").text(path)
+    once = lines.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
+    once.partitionBy("run_id").text(path)
 
 
 def console(df: DataFrame, checkpoint: str | None = None) -> DataStreamWriter:

@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
+import json
 import threading
+from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -17,10 +19,19 @@ class ProgressStore(StreamingQueryListener):
     A thread of its own writes what has come in, by Spark, every few ``seconds``, and
     at once when a query ends; the listener's calls only hand reports over. Should the
     folder refuse ``most`` reports, the store stops taking more and ``wait`` raises.
+    ``clock`` gives the time of a report, by its fields, in place of the wall clock's.
     Register with ``spark.streams.addListener``.
     """
 
-    def __init__(self, spark: SparkSession, path: str, seconds: float = 10.0, most: int = 10_000):
+    def __init__(
+        self,
+        spark: SparkSession,
+        path: str,
+        seconds: float = 10.0,
+        most: int = 10_000,
+        clock: Callable[[dict], str] | None = None,
+    ):
+        self._clock = clock
         self._spark = spark
         self._path = path
         self._seconds = seconds
@@ -37,9 +48,13 @@ class ProgressStore(StreamingQueryListener):
             self._running.add(str(event.runId))
 
     def onQueryProgress(self, event):
+        text = event.progress.json
+        if self._clock:
+            report = json.loads(text)
+            text = json.dumps(report | {"timestamp": self._clock(report)})
         with self._changed:
             if len(self._reports) < self._most:
-                self._reports.append(event.progress.json)
+                self._reports.append(text)
             else:
                 self._failure = self._failure or RuntimeError(f"{self._path} takes no reports")
 
