@@ -2,13 +2,13 @@
 
 from __future__ import annotations
 
-import time
 from collections.abc import Callable
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from adstream.functions import click_ratio
 from adstream.operators import arrivals, counts, events, latency, mapping, progress, records
 from adstream.plans import (
     ctr_from_records,
@@ -21,13 +21,31 @@ from adstream.schemas import AD_EVENT
 from adstream.session import own_session, shared_folder
 from adstream.sources import (
     FileFolder,
+    VersionedFolder,
     event_table,
+    files,
+    read_events,
+    read_latencies,
     read_lines,
+    read_partitions,
     read_results,
+    write_latency,
     write_mapping,
     write_results,
 )
-from adstream.streaming import ProgressStore, run_available, run_to_table
+from adstream.streaming import (
+    IdleWatch,
+    ProgressStore,
+    count_late,
+    late_events,
+    open_windows,
+    read_once,
+    run_available,
+    run_to_table,
+    with_newest,
+    with_partition_watermarks,
+    write_once,
+)
 
 try:
     import corpus_pipeline
@@ -93,25 +111,47 @@ def _appended_smoothed(spark: SparkSession, sf: str) -> DataFrame:
     return reports.appended_results(ctr, _append_ts(end))
 
 
-def _hourly_progress(spark: SparkSession, sf: str) -> DataFrame:
-    """Progress reports of a query that had taken the events hour by hour."""
-    iso = "yyyy-MM-dd'T'HH:mm:ss.SSS'Z'"
-    hour = F.window("event_ts", "1 hour").alias("hour")
-    last = (
-        _events(spark, sf)
-        .groupBy(hour)
-        .agg(F.count("*").alias("rows"), F.max("event_ts").alias("last"))
-    )
-    watermark = F.date_format(F.col("last") - F.expr("INTERVAL 1 SECOND"), iso)
-    report = F.struct(
-        F.lit("hourly").alias("runId"),
-        F.floor(F.unix_millis("hour.start") / 3_600_000).alias("batchId"),
-        F.date_format("hour.end", iso).alias("timestamp"),
-        F.col("rows").alias("numInputRows"),
-        F.struct(watermark.alias("watermark")).alias("eventTime"),
-        F.struct(F.lit("results").alias("description")).alias("sink"),
-    )
-    return progress.progress_rows(last.select(F.to_json(report).alias("value")))
+def _slices(table: DataFrame, parts: int, at: str | Column = "ts") -> list[DataFrame]:
+    """The table in parts of equal length of time, from its first to its last row."""
+    micros = F.unix_micros((F.col(at) if isinstance(at, str) else at).cast("timestamp"))
+    low, high = table.agg(F.min(micros), F.max(micros)).first()
+    if low is None:
+        return [table]
+    length = (high - low) // parts + 1
+    return [table.where(F.floor((micros - low) / length) == k) for k in range(parts)]
+
+
+def _step(spark: SparkSession, part: DataFrame, folder: str, *by: str) -> None:
+    """Add a part to the events of a folder that streams read."""
+    part.write.mode("append").partitionBy(*by).parquet(f"{folder}/{event_table.FILE}")
+
+
+SLICES = 5
+
+
+def _run_progress(spark: SparkSession, sf: str) -> DataFrame:
+    """Stored reports of real runs, one for each fifth of the events' time.
+
+    The reports' clock is a second to the batch, counted from the year 2030.
+    """
+    folder = shared_folder(spark, "run_progress")
+
+    def clock(report: dict) -> str:
+        return f"2030-01-01T00:00:{report['batchId']:02d}.000Z"
+
+    spark = own_session(spark, streaming__noDataMicroBatches__enabled="false")
+    store = ProgressStore(spark, f"{folder}/reports", clock=clock)
+    spark.streams.addListener(store)
+    runs = []
+    try:
+        for part in _slices(_table(spark, sf), SLICES):
+            _step(spark, part, folder)
+            rates = ctr_one_pass(_event_stream(spark, folder), "1 hour")
+            runs.append(run_available(rates, FileFolder(f"{folder}/rows"), f"{folder}/checkpoint"))
+        store.wait()
+    finally:
+        spark.streams.removeListener(store)
+    return store.rows().where(F.col("run_id").isin([str(r.runId) for r in runs]))
 
 
 # --- queries -----------------------------------------------------------------
@@ -231,27 +271,6 @@ def _progress_rows(spark, sf):
     return rows.select("batch_id", "watermark", "input_rows", "rows_dropped")
 
 
-def _in_order(spark, sf, folder, late=None):
-    """The whole table as a folder of part files in time order, for several batches.
-
-    Rows for which ``late`` holds come in a last file of their own, behind one row that
-    is a day ahead of all others.
-    """
-    table = _table(spark, sf)
-    parts = table.sort("ts") if late is None else table.where(~late).sort("ts")
-    target = f"{folder}/{event_table.FILE}"
-    parts.write.parquet(target)
-    if late is not None:
-        last = F.max("ts") + F.expr("INTERVAL 1 DAY")
-        ahead = table.agg(last.alias("ts")).select(
-            F.lit(-1).cast("bigint").alias("event_id"), "ts", F.lit(0).cast("bigint").alias("user_id"),
-            F.lit("view").alias("event_type"), F.lit(0.0).alias("value"), F.lit("{}").alias("props"),
-        )
-        ahead.coalesce(1).write.mode("append").parquet(target)
-        time.sleep(1.1)  # the stream takes files by the second of their change
-        table.where(late).coalesce(1).write.mode("append").parquet(target)
-
-
 def _stream_restart(spark, sf):
     """The first half of the table, a stop, and all of it on the same checkpoint."""
     folder = shared_folder(spark, "stream_restart")
@@ -265,20 +284,164 @@ def _stream_restart(spark, sf):
     return spark.read.schema(rates.schema).parquet(out.path)
 
 
+def _late_parts(table: DataFrame) -> list[DataFrame]:
+    """The rows that are in time, a row a day ahead of all, and then three users' rows.
+
+    A user's rows share a file, so that a group of them is counted once.
+    """
+    late = F.col("user_id") < 3
+    last = F.max("ts") + F.expr("INTERVAL 1 DAY")
+    ahead = table.agg(last.alias("ts")).select(
+        F.lit(-1).cast("bigint").alias("event_id"), "ts", F.lit(0).cast("bigint").alias("user_id"),
+        F.lit("view").alias("event_type"), F.lit(0.0).alias("value"), F.lit("{}").alias("props"),
+    )
+    return [table.where(~late), ahead, table.where(late).repartition("user_id")]
+
+
 def _stream_late_rows(spark, sf):
     """Input and dropped rows where the events of three users come a day late.
 
     Spark counts what it drops after the partial aggregate: a row a window and campaign.
     """
     folder = shared_folder(spark, "stream_late_rows")
-    _in_order(spark, sf, folder, late=F.col("user_id") < 3)
-    stream = event_table.ad_events(event_table.stream_table(spark, folder, files_per_batch=1))
-    rows = _reported(spark, "late_reports", ctr_one_pass(stream))
+    store = ProgressStore(spark, f"{folder}/reports")
+    spark.streams.addListener(store)
+    runs = []
+    try:
+        for part in _late_parts(_table(spark, sf)):
+            _step(spark, part, folder)
+            rates = ctr_one_pass(_event_stream(spark, folder))
+            runs.append(run_available(rates, FileFolder(f"{folder}/rows"), f"{folder}/checkpoint"))
+        store.wait()
+    finally:
+        spark.streams.removeListener(store)
+    rows = store.rows().where(F.col("run_id").isin([str(r.runId) for r in runs]))
     return rows.agg(
         F.sum("input_rows").alias("input_rows"), F.sum("rows_dropped").alias("rows_dropped")
     )
 
 
+def _stream_late_events(spark, sf):
+    """The same feed, with late events counted one by one."""
+    folder = shared_folder(spark, "stream_late_events")
+    sink = FileFolder(f"{folder}/late")
+    for part in _late_parts(_table(spark, sf)):
+        _step(spark, part, folder)
+        count_late(_event_stream(spark, folder), sink, f"{folder}/checkpoint").awaitTermination()
+    return late_events(spark, sink).select("batch_id", "input_rows", "late_events", "late_so_far")
+
+
+def _by_partition(spark, folder, pulses=None):
+    """A folder's events, with a watermark for each of its four partitions."""
+    source = FileFolder(f"{folder}/{event_table.FILE}", schema=event_table.TABLE_SCHEMA)
+    parts = read_partitions(spark, source, range(PARTITIONS))
+    return with_partition_watermarks(
+        {k: event_table.ad_events(part) for k, part in parts.items()}, pulses=pulses
+    )
+
+
+PARTITIONS = 4
+
+
+def _in_partitions(table: DataFrame) -> DataFrame:
+    return table.withColumn("partition", (F.col("user_id") % PARTITIONS).cast("int"))
+
+
+def _stream_partition_watermark(spark, sf):
+    """Events of four partitions, of which one comes an hour after the others."""
+    folder = shared_folder(spark, "stream_partition_watermark")
+    lag = F.when(F.col("partition") == 2, F.expr("INTERVAL 1 HOUR")).otherwise(F.expr("INTERVAL 0 HOUR"))
+    out = FileFolder(f"{folder}/rows")
+    for part in _slices(_in_partitions(_table(spark, sf)), 4, F.col("ts").cast("timestamp") + lag):
+        _step(spark, part, folder, "partition")
+        rates = ctr_one_pass(_by_partition(spark, folder), "1 hour")
+        run_available(rates, out, f"{folder}/checkpoint")
+    return spark.read.schema(rates.schema).parquet(out.path)
+
+
+def _stream_idle_partition(spark, sf):
+    """Events of four partitions, of which one falls silent at half time."""
+    folder = shared_folder(spark, "stream_idle_partition")
+    out, now = FileFolder(f"{folder}/rows"), 0.0
+    watch = IdleWatch(spark, f"{folder}/pulses", list(range(PARTITIONS)), clock=lambda: now)
+    first, second = _slices(_in_partitions(_table(spark, sf)), 2)
+    for part in (first, second.where("partition <> 3"), None):
+        if part is not None:
+            _step(spark, part, folder, "partition")
+        rates = ctr_one_pass(_by_partition(spark, folder, watch.folder), "1 hour")
+        query = run_available(rates, out, f"{folder}/checkpoint")
+        watch.step(query)
+        now += 45.0
+        watch.step(query)
+    return spark.read.schema(rates.schema).parquet(out.path)
+
+
+def _stream_new_mapping(spark, sf):
+    """Ads looked up while their mapping is replaced at half time."""
+    folder = shared_folder(spark, "stream_new_mapping")
+    ads, mappings = event_table.mapping(_table(spark, sf)), VersionedFolder(f"{folder}/mapping")
+    moved = ads.withColumn("campaign_id", ((F.col("campaign_id") + 1) % 10).cast("int"))
+    out = FileFolder(f"{folder}/rows")
+    change = with_newest(mappings, mapping.enrich_campaign)
+    for part, table in zip(_slices(_table(spark, sf), 2), (ads, moved), strict=False):
+        write_mapping(table, mappings)
+        _step(spark, part, folder)
+        plain = _event_stream(spark, folder).drop("campaign_id", events.PAYLOAD_CAMPAIGN)
+        write_once(plain, out, f"{folder}/checkpoint", change=change).awaitTermination()
+    return read_once(spark, out).select("event_id", "ad_id", "event_type", "campaign_id")
+
+
+def _stream_results_once(spark, sf):
+    """Results of two halves, of which the last batch is run a second time."""
+    folder = shared_folder(spark, "stream_results_once")
+    out, checkpoint = FileFolder(f"{folder}/rows"), f"{folder}/checkpoint"
+    for part in _slices(_table(spark, sf), 2):
+        _step(spark, part, folder)
+        for _ in range(2):
+            rates = ctr_one_pass(_event_stream(spark, folder), "1 hour")
+            write_once(rates, out, checkpoint).awaitTermination()
+            # As if the query had died before the batch was committed.
+            files.remove(spark, max(files.matching(spark, f"{checkpoint}/commits/*"), key=len_then_name))
+    return read_once(spark, out).select(*rates.columns)
+
+
+def len_then_name(path: str) -> tuple[int, str]:
+    return len(path), path
+
+
+def _open_state(spark, sf):
+    """A run of the one pass, and the windows that it has not closed."""
+    folder = shared_folder(spark, "open_windows")
+    rates = ctr_one_pass(_event_stream(spark, sf), "1 hour")
+    run_available(rates, FileFolder(f"{folder}/rows"), f"{folder}/checkpoint")
+    held = open_windows(spark, f"{folder}/checkpoint", ["views", "clicks", "max_kafka_ts"])
+    return spark.read.schema(rates.schema).parquet(f"{folder}/rows"), held
+
+
+def _stream_with_open(spark, sf):
+    """The windows given out and those still open, which make up the batch answer."""
+    closed, held = _open_state(spark, sf)
+    rates = held.where("views > 0").withColumn("ctr", click_ratio(F.col("clicks"), F.col("views")))
+    return closed.unionByName(rates)
+
+
+def _stream_read_events(spark, sf):
+    """Results from a folder of record envelopes, read as a topic would be."""
+    folder = shared_folder(spark, "stream_read_events")
+    _envelopes(spark, sf).write.parquet(f"{folder}/topic")
+    source = read_events(spark, FileFolder(f"{folder}/topic"))
+    return _run(spark, ctr_from_records(source, ctr_one_pass, "1 hour"), "stream_read_events")
+
+
+def _latency_average_again(spark, sf):
+    """The latencies of one run, measured and written twice."""
+    path = shared_folder(spark, "latency_again")
+    for _ in range(2):
+        write_latency(_window_latency(spark, sf), path, "run-1")
+    samples = read_latencies(spark, path)
+    return latency.latency_average(samples.withColumn("run_id", F.col("run_id").cast("string")))
+
+
 def _arrival_gaps(spark, sf):
     """Rounded, as the two engines sum in different orders."""
     gaps = arrivals.arrival_gaps(_events(spark, sf))
@@ -289,7 +452,7 @@ def _arrival_gaps(spark, sf):
 
 def _watermark_log(spark, sf):
     path = shared_folder(spark, "watermark_log")
-    progress.watermark_lines(_hourly_progress(spark, sf)).write.text(path)
+    progress.watermark_lines(_run_progress(spark, sf)).write.text(path)
     return progress.watermark_log(read_lines(spark, path))
 
 
@@ -396,8 +559,17 @@ def _all_queries() -> dict[str, Query]:
         "arrival_gaps": _arrival_gaps,
         "burst_profile": lambda s, sf: arrivals.burst_profile(_events(s, sf), "1 hour"),
         "progress_rows": _progress_rows,
-        "watermark_lag": lambda s, sf: progress.watermark_lag(_hourly_progress(s, sf)),
+        "watermark_lag": lambda s, sf: progress.watermark_lag(_run_progress(s, sf)),
         "watermark_log": _watermark_log,
+        "stream_late_events": _stream_late_events,
+        "stream_partition_watermark": _stream_partition_watermark,
+        "stream_idle_partition": _stream_idle_partition,
+        "stream_new_mapping": _stream_new_mapping,
+        "stream_results_once": _stream_results_once,
+        "stream_read_events": _stream_read_events,
+        "open_windows": lambda s, sf: _open_state(s, sf)[1],
+        "stream_ctr_with_open": _stream_with_open,
+        "latency_average_again": _latency_average_again,
     }
     for suffix, length in WINDOWS.items():
         made |= _windowed_queries(suffix, length)
@@ -473,7 +645,7 @@ def _closed(sec: int, kinds: str) -> str:
 def _counts_sql(sec: int, one: str, latest: str, name: str, cut: str) -> str:
     return f"""with {_groups(sec)}
 select cast(k as varchar) campaign_id, ws window_start,
-  ws + interval {sec} second window_end, {one} {name}, {latest} max_kafka_ts_{name}
+  ws + interval {sec} second window_end, {one} {name}, {latest} last_record_ts
 from g where {one} > 0 {cut}"""
 
 
@@ -519,11 +691,15 @@ _LATENCY_1H = f"""{_RESULTS_1H},
 t as (select *, max(max_kafka_ts) over (partition by window_start) window_max_ts from r),
 l as (select *, epoch_us(append_ts) // 1000 - epoch_us(window_max_ts) // 1000 latency_ms from t)"""
 
-_HOURS = """h as (select date_trunc('hour', ts) hs, count(*) n, max(ts) last
-  from events group by 1),
-p as (select epoch_us(hs) // 3600000000 batch_id,
-  make_timestamp(epoch_us(last) // 1000 * 1000) - interval 1 second wm,
-  hs + interval 1 hour as done from h)"""
+# Slices of equal length of time; the watermark of a run is the newest event before it.
+_RUNS = f"""b as (select min(epoch_us(ts)) low,
+  (max(epoch_us(ts)) - min(epoch_us(ts))) // {SLICES} + 1 len from events),
+s as (select (epoch_us(ts) - low) // len k, max(ts) last from events, b group by 1),
+p as (select cast(r.k as bigint) batch_id, {_MS.format("max(s.last)")} - interval 1 second wm,
+  timestamp '2030-01-01' + r.k * interval 1 second as done
+  from range(1, {SLICES}) r(k) join s on s.k < r.k group by r.k)"""
+
+_HALF = "(select (min(epoch_us(ts)) + (max(epoch_us(ts)) - min(epoch_us(ts))) // 2) from events)"
 
 _GAPS = """
 with o as (select cast(user_id % 10 as varchar) campaign_id, epoch_us(ts) us, event_id from events),
@@ -623,9 +799,33 @@ def oracle_sql() -> dict[str, str]:
               cast(0 as bigint) rows_dropped from events
             union all select 1, strftime(make_timestamp(epoch_us(max(ts)) // 1000 * 1000)
               - interval 1 second, {_ISO}), 0, 0 from events""",
-        "watermark_lag": f"""with {_HOURS} select batch_id, strftime(wm, {_ISO}) watermark,
+        "watermark_lag": f"""with {_RUNS} select batch_id, strftime(wm, {_ISO}) watermark,
             epoch_us(done) // 1000 - epoch_us(wm) // 1000 lag_ms from p""",
-        "watermark_log": f"with {_HOURS} select wm watermark, done processing_time from p",
+        "watermark_log": f"""with {_RUNS} select wm watermark, done processing_time from p
+            union all select timestamp '1970-01-01', timestamp '2030-01-01'""",
+        "stream_late_events": """with n as (select count(*) filter (user_id >= 3) a,
+              count(*) filter (user_id < 3) c from events)
+            select 0::bigint batch_id, a input_rows, 0::bigint late_events, 0::bigint late_so_far from n
+            union all select 1, 1, 0, 0 union all select 2, c, c, c from n""",
+        "stream_partition_watermark": _ctr_sql(3600, """and ws + interval 1 hour <=
+            (select min(m) - interval 1 second from
+              (select max(ts) m from events group by user_id % 4))"""),
+        "stream_idle_partition": f"""with heard as (select * from events
+            where user_id % 4 <> 3 or epoch_us(ts) <= {_HALF}),
+            {_groups(3600).replace("from events", "from heard")} {_ctr_select(3600)}
+            and ws + interval 1 hour <= (select min(m) - interval 1 second from
+              (select max(ts) m from heard where user_id % 4 <> 3 group by user_id % 4))""",
+        "stream_new_mapping": f"""select event_id, cast(user_id as varchar) ad_id, event_type,
+            cast((user_id % 10 + case when epoch_us(ts) <= {_HALF} then 0 else 1 end) % 10 as int)
+            campaign_id from events""",
+        "stream_results_once": _ctr_sql(3600, _closed(3600, "")),
+        "stream_read_events": _ctr_sql(3600, _closed(3600, ""), events_ms),
+        "open_windows": f"""with {_groups(3600)} select cast(k as varchar) campaign_id,
+            ws window_start, ws + interval 1 hour window_end, v views, c clicks, mk max_kafka_ts from g
+            where ws + interval 1 hour > (select max(ts) - interval 1 second from events)""",
+        "stream_ctr_with_open": _ctr_sql(3600),
+        "latency_average_again": f"""with {_LATENCY_1H} select 'run-1' run_id, count(*) samples,
+            cast(sum(latency_ms) as double) / count(*) mean_latency_ms from l""",
     }
     for suffix, sec in SECONDS.items():
         both = "'view', 'click'"

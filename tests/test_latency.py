@@ -140,3 +140,13 @@ def test_mean_of_each_run(spark):
     frames = {k: spark.createDataFrame(v, "latency_ms bigint") for k, v in runs.items()}
     got = reports.average_of_runs(spark, frames).collect()
     assert sorted((r.run_id, r.samples, r.mean_latency_ms) for r in got) == [("a", 2, 2.0), ("b", 1, 5.0)]
+
+
+def test_a_run_written_again_takes_the_place_of_its_samples(spark, tmp_path):
+    path = str(tmp_path / "samples")
+    samples = spark.createDataFrame([(1,), (3,)], "latency_ms bigint")
+    for run in ("a", "b", "a"):
+        write_latency(samples, path, run)
+    write_latency(samples.limit(1), path, "b")
+    counts = read_latencies(spark, path).groupBy("run_id").count().collect()
+    assert {r["run_id"]: r["count"] for r in counts} == {"a": 2, "b": 1}

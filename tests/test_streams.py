@@ -244,7 +244,11 @@ def test_state_settings_hold_whatever_the_session(plain, feed, tmp_path):
 
 
 STREAMED = [n for n in contract.queries() if n.startswith("stream_")] + ["progress_rows"]
-PLAIN = [n for n in STREAMED if n not in ("stream_restart", "stream_late_rows", "progress_rows")]
+# These make batches of their own.
+OWN_BATCHES = (
+    "stream_restart", "stream_results_once", "stream_late_rows", "stream_late_events", "progress_rows",
+)
+PLAIN = [n for n in STREAMED if n not in OWN_BATCHES]
 
 
 @pytest.fixture(scope="module")
@@ -279,3 +283,19 @@ def test_a_bounded_stream_takes_several_batches(spark, parts, tmp_path):
     query = run_available(stream, FileFolder(str(tmp_path / "out")), str(tmp_path / "cp"))
     assert query.lastProgress.batchId == 3
     assert spark.read.parquet(str(tmp_path / "out")).count() == 1000
+
+
+def test_reports_carry_the_time_of_a_clock(spark, feed, tmp_path):
+    feed.add(("1", "view", 1000)).add(("1", "view", 32000))
+    store = ProgressStore(
+        spark, str(tmp_path / "reports"), clock=lambda r: f"2030-01-01T00:00:0{r['batchId']}.000Z"
+    )
+    spark.streams.addListener(store)
+    try:
+        rates = ctr_one_pass(feed.stream(spark))
+        query = run_available(rates, FileFolder(str(tmp_path / "out")), str(tmp_path / "cp"))
+        store.wait()
+    finally:
+        spark.streams.removeListener(store)
+    rows = store.rows(query.runId).orderBy("batch_id").collect()
+    assert [r.timestamp[18] for r in rows] == ["0", "1", "2"]
