@@ -16,7 +16,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from adstream.llm.tables import membership, passes, split_join, stored
+from adstream.llm.tables import membership, passes, split_join, stored, unused
 from adstream.llm.words import ascii_fold, chunks, find_words, mixed
 
 # Positions that the first mask ignores. Their differences modulo 13
@@ -66,6 +66,9 @@ def _tokens(value: np.ndarray, at: np.ndarray, width: int) -> np.ndarray:
     return np.lib.stride_tricks.sliding_window_view(value, width)[at]
 
 
+NO_ITEM = -(1 << 63)
+# Each token of a document has a seed for each mask, so few of them may pass by chance.
+SEED_BITS = 256
 SEEDS = "owner bigint, seed bigint, at int, tokens binary"
 
 
@@ -119,12 +122,12 @@ def overlaps(docs: DataFrame, benchmark: DataFrame, how: Overlap = Overlap()) ->
     Tokens are words without ASCII punctuation, in lower case.
     """
     docs = docs.select(F.xxhash64("text").alias("owner"), "text").where("text is not null")
-    items = benchmark.select(F.col("item_id").cast("bigint").alias("owner"), "text")
-    items = items.where("owner is not null and text is not null").distinct()
+    owner = F.coalesce(F.col("item_id").cast("bigint"), F.lit(NO_ITEM))
+    items = benchmark.select(owner.alias("owner"), "text").where("text is not null").distinct()
     every = list(range(how.least, WINDOW + 1))
     known = stored(_seed_table(items, every, None, how.least), "benchmark_seeds")
     widths = [r[0] for r in known.select((F.octet_length("tokens") / 8).cast("int")).distinct().collect()]
-    hits = _seed_table(docs, sorted(widths), membership(known, "seed"), None)
+    hits = _seed_table(docs, sorted(widths), membership(known, "seed", SEED_BITS), None)
     known = known.select(
         "seed", F.col("owner").alias("item_id"), F.col("tokens").alias("item_tokens")
     )
@@ -158,18 +161,24 @@ def contaminated(docs: DataFrame, benchmark: DataFrame, how: Overlap = Overlap()
     """(doc_id, item_id, first_token, last_token, equal_tokens) of each leak.
 
     A row for each pair of a document and an item that share a window. Null and empty
-    texts leak nothing, null item_ids are left out, a null doc_id keeps its row;
-    repeated rows of documents repeat theirs. No rows give no rows.
+    texts leak nothing. Items with a null item_id are left out, as there is no name for
+    them (``decontaminated`` counts them); a null doc_id keeps its row; repeated rows of
+    documents repeat theirs. No rows give no rows.
     """
     found = overlaps(docs, benchmark, how)
     keyed = docs.where("text is not null").select(
         F.col("doc_id").cast("bigint").alias("doc_id"), F.xxhash64("text").alias("doc_key")
     )
-    return split_join(keyed, found, ["doc_key"]).drop("doc_key")
+    named = found.where(F.col("item_id") != NO_ITEM)
+    return split_join(keyed, named, ["doc_key"]).drop("doc_key")
 
 
 def decontaminated(docs: DataFrame, benchmark: DataFrame, how: Overlap = Overlap()) -> DataFrame:
-    """The documents without a leak, with all their columns; null texts stay."""
-    leaks = overlaps(docs, benchmark, how).select(F.col("doc_key").alias("_text_key")).distinct()
-    keyed = docs.withColumn("_text_key", F.when(F.col("text").isNotNull(), F.xxhash64("text")))
-    return split_join(keyed, leaks, ["_text_key"], "left_anti").drop("_text_key").select(docs.columns)
+    """The documents without a leak, with all their columns, whatever their names.
+
+    Items with a null item_id count like others. Null texts and doc_ids and repeated rows stay. Without items all documents stay.
+    """
+    key = unused("_text_key", docs)
+    leaks = overlaps(docs, benchmark, how).select(F.col("doc_key").alias(key)).distinct()
+    keyed = docs.withColumn(key, F.when(F.col("text").isNotNull(), F.xxhash64("text")))
+    return split_join(keyed, leaks, [key], "left_anti").select(docs.columns)

@@ -33,7 +33,6 @@ HELD_BYTES = 1 << 27
 PIECE = 1 << 22
 BLOCK_ENTRIES = 20_000
 DENSE = 1 << 22
-MOST_BITS = 1 << 26
 UNIT = 1_000_000_000
 
 
@@ -58,12 +57,7 @@ def _keys(group: str, values: list[bytes]) -> np.ndarray:
 
 
 def _filter(keys: DataFrame, value: str) -> np.ndarray:
-    """A filter over (lang, value) with 16 bits a key, as far as the bound allows."""
-    bits = 1 << 16
-    rows = keys.count()
-    while bits < min(16 * rows, MOST_BITS):
-        bits *= 2
-    return membership(keys.select(F.xxhash64("lang", value).alias("key")), "key", bits)
+    return membership(keys.select(F.xxhash64("lang", value).alias("key")), "key")
 
 
 class _Tally:

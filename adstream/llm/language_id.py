@@ -9,17 +9,17 @@ greatest mean log-probability over its windows.
 
 from __future__ import annotations
 
-import re
 from dataclasses import dataclass
 
 import numpy as np
 import pandas as pd
+import regex
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from adstream.llm.tables import hashed_sample
+from adstream.llm.tables import hashed_sample, unused
 
-LETTER = re.compile(r"[^\W\d_]")
+LETTER = regex.compile(r"\p{L}")
 BATCH = 512
 
 
@@ -150,8 +150,10 @@ def fit(docs: DataFrame, learn: Column, net: Net = Net()) -> Model:
 
 
 def predicted(docs: DataFrame, model: Model) -> DataFrame:
-    """The documents with ``language`` and ``language_score``, its probability.
+    """The documents with ``language`` and ``language_score``, its probability, behind.
 
+    Where a column of the documents has one of these names, the new one has an
+    underscore more. A letter is what Unicode puts into category L.
     A null text, or one without letters, is ``und`` with score 0, and so is every text
     if no language was learned. Every row keeps its row and columns; repeated rows get
     the same. No rows give no rows.
@@ -168,11 +170,12 @@ def predicted(docs: DataFrame, model: Model) -> DataFrame:
             named[k], scores[k] = model.languages[best], float(share[best] / share.sum())
         return pd.DataFrame({"language": named, "score": scores})
 
-    made = docs.withColumn("_predicted", predict(F.col("text").cast("string")))
+    both = unused("_predicted", docs)
+    made = docs.withColumn(both, predict(F.col("text").cast("string")))
     return made.select(
-        *docs.columns,
-        F.col("_predicted.language").alias("language"),
-        F.col("_predicted.score").alias("language_score"),
+        *[F.col(f"`{c}`") for c in docs.columns],
+        F.col(f"{both}.language").alias(unused("language", docs)),
+        F.col(f"{both}.score").alias(unused("language_score", docs)),
     )
 
 

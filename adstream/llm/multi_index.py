@@ -15,6 +15,7 @@ local component: never its pairs.
 from __future__ import annotations
 
 from dataclasses import dataclass
+from functools import reduce
 
 import numpy as np
 import pyarrow as pa
@@ -239,21 +240,38 @@ def near_duplicates(vectors: DataFrame, how: Index = Index()) -> DataFrame:
     Vectors link at a cosine of ``how.cosine`` or more; n_links counts other vectors,
     component_id is the smallest vec_id that links reach, kept whether that is the
     vector itself. Vectors that cannot link (see ``classes``) have no links and are
-    kept; a null vec_id has no component and is not. Vectors of another dimension than
-    the most frequent link with nothing. Repeated rows are one vector and each keep
-    their row. No rows give no rows.
+    kept; a null vec_id has no component and is not. Vectors of each dimension have an
+    index of their own and link among themselves. Repeated rows are one vector and each
+    keep their row. No rows give no rows.
     """
     known = stored(classes(vectors).distinct(), "vectors")
     width = F.octet_length("vector")
-    top = known.groupBy(width.alias("w")).count().orderBy(F.desc("count"), "w").first()
     every = vectors.select(F.col("vec_id").cast("bigint").alias("vec_id"))
-    if top is None:
+    widths = sorted(r[0] for r in known.select(width).distinct().collect())
+    if not widths:
         return every.select(
             "vec_id", F.lit(0).cast("bigint").alias("n_links"), F.col("vec_id").alias("component_id"),
             F.col("vec_id").isNotNull().alias("kept"),
         )
-    size = top["w"] // 8
-    known = known.where(width == top["w"])
+    parts = [_links(known.where(width == w), w // 8, how) for w in widths]
+    found, copies = (reduce(DataFrame.unionByName, some) for some in zip(*parts, strict=True))
+    degree = found.groupBy("rep").agg(F.sum("links").alias("links"))
+    chains = found.where("rep <> root").select(F.col("rep").alias("a"), F.col("root").alias("b")).distinct()
+    graph = chains.unionByName(copies.where("vec_id <> rep").select(F.col("vec_id").alias("a"), F.col("rep").alias("b")))
+    parts = components(graph).withColumnRenamed("node", "vec_id")
+    degrees = split_join(copies, degree, ["rep"], "left").groupBy("vec_id").agg(
+        F.sum(F.coalesce("links", F.lit(0)) + F.col("members") - 1).alias("n_links")
+    )
+    made = split_join(split_join(every, degrees, ["vec_id"], "left"), parts, ["vec_id"], "left")
+    made = made.withColumn("component_id", F.coalesce("component", "vec_id"))
+    return made.select(
+        "vec_id", F.coalesce("n_links", F.lit(0)).alias("n_links"), "component_id",
+        F.coalesce(F.col("vec_id") == F.col("component_id"), F.lit(False)).alias("kept"),
+    )
+
+
+def _links(known: DataFrame, size: int, how: Index) -> tuple[DataFrame, DataFrame]:
+    """Links of vectors of one dimension, (rep, links, root), and (vec_id, rep, members)."""
     reps = known.groupBy("vector").agg(F.min("vec_id").alias("rep"), F.count("*").alias("members"))
     reps = stored(reps, "vector_classes")
     grid = _fit(reps, size, how)
@@ -335,18 +353,5 @@ def near_duplicates(vectors: DataFrame, how: Index = Index()) -> DataFrame:
         .applyInArrow(linked, "rep bigint, links bigint, root bigint")
     )
     found = stored(found, "vector_links")
-    degree = found.groupBy("rep").agg(F.sum("links").alias("links"))
-    chains = found.where("rep <> root").select(F.col("rep").alias("a"), F.col("root").alias("b")).distinct()
     copies = split_join(known, reps, ["vector"]).select("vec_id", "rep", "members")
-    copies = stored(copies, "vector_copies")
-    graph = chains.unionByName(copies.where("vec_id <> rep").select(F.col("vec_id").alias("a"), F.col("rep").alias("b")))
-    parts = components(graph).withColumnRenamed("node", "vec_id")
-    degrees = split_join(copies, degree, ["rep"], "left").groupBy("vec_id").agg(
-        F.sum(F.coalesce("links", F.lit(0)) + F.col("members") - 1).alias("n_links")
-    )
-    made = split_join(split_join(every, degrees, ["vec_id"], "left"), parts, ["vec_id"], "left")
-    made = made.withColumn("component_id", F.coalesce("component", "vec_id"))
-    return made.select(
-        "vec_id", F.coalesce("n_links", F.lit(0)).alias("n_links"), "component_id",
-        F.coalesce(F.col("vec_id") == F.col("component_id"), F.lit(False)).alias("kept"),
-    )
+    return found, stored(copies, "vector_copies")

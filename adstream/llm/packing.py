@@ -27,22 +27,24 @@ from adstream.llm.tables import running_totals, stored
 class Packing:
     """Sequence length, closing id, and the ranks file of the tokenizer.
 
-    ``ranks`` holds the vocabulary of byte_bpe_50k.json as ranks; both give the same
-    ids. Strings of special tokens in a text are ordinary text.
+    ``ranks`` holds the vocabulary of byte_bpe_50k.json as ranks, and ``special`` its
+    special tokens; both files give the same ids. The string of a special token in a
+    text is that token, as that file has it.
     """
 
     length: int = 2048
     closing: int = 1
     ranks: str = public_tokenizers.path("byte_bpe_50k.tiktoken")
     pattern: str = public_tokenizers.PATTERN
+    special: tuple[tuple[str, int], ...] = (("<|endoftext|>", 50256),)
 
 
 @cache
-def encoding(ranks: str, pattern: str) -> tiktoken.Encoding:
+def encoding(ranks: str, pattern: str, special: tuple[tuple[str, int], ...]) -> tiktoken.Encoding:
     with open(ranks, "rb") as lines:
         made = {base64.b64decode(token): int(rank) for token, rank in map(bytes.split, lines)}
     return tiktoken.Encoding(
-        "packing", pat_str=pattern, mergeable_ranks=made, special_tokens={}
+        "packing", pat_str=pattern, mergeable_ranks=made, special_tokens=dict(special)
     )
 
 
@@ -53,13 +55,13 @@ def token_table(docs: DataFrame, how: Packing) -> DataFrame:
     """
 
     def encoded(batches):
-        coder = encoding(how.ranks, how.pattern)
+        coder = encoding(how.ranks, how.pattern, how.special)
         kind = np.uint16 if max(coder.max_token_value, how.closing) < 1 << 16 else np.uint32
         part, before = TaskContext.get().partitionId(), 0
         for batch in batches:
             made, sizes = [], []
             for text in batch.column(1):
-                ids = coder.encode_to_numpy(text.as_py() or "", disallowed_special=())
+                ids = coder.encode_to_numpy(text.as_py() or "", allowed_special="all")
                 made.append(np.append(ids, how.closing).astype(kind).tobytes())
                 sizes.append(len(ids) + 1)
             ends = before + np.cumsum(sizes, dtype=np.int64)

@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 
 from adstream.llm.boosted_trees import Boosting, Forest, learned
 from adstream.llm.document_statistics import statistics
-from adstream.llm.tables import hashed_sample
+from adstream.llm.tables import hashed_sample, unused
 
 
 @dataclass(frozen=True)
@@ -71,18 +71,16 @@ def fit(docs: DataFrame, labels: DataFrame, learn: Column, how: Fit = Fit()) ->
     return learned(np.array(rows["x"].tolist()), label, weight, how.trees)
 
 
-def scored(docs: DataFrame, model: Forest, column: str = "quality_score") -> DataFrame:
-    """The documents with the probability that their quality is good in a new column.
+def scored(docs: DataFrame, model: Forest) -> DataFrame:
+    """The documents with the probability that their quality is good behind their columns.
 
-    A null or empty text is scored by its statistics, which are zero. Every row stays,
-    with its columns; repeated rows score alike. No rows give no rows. A column of the
-    new name is an error.
+    The new column is ``quality_score``, with an underscore more where they have one of
+    that name. A null or empty text is scored by its statistics, which are zero. Every
+    row stays; repeated rows score alike. No rows give no rows.
     """
-    if column in docs.columns:
-        raise ValueError(f"the documents have a column {column}")
 
     @F.arrow_udf("double")
     def score(texts: pa.Array) -> pa.Array:
         return pa.array(model.score(statistics(texts)), pa.float64())
 
-    return docs.withColumn(column, score(F.col("text").cast("string")))
+    return docs.withColumn(unused("quality_score", docs), score(F.col("text").cast("string")))

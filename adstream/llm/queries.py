@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from adstream.llm import (
@@ -70,25 +70,32 @@ def ngram_jaccard(spark: SparkSession, sf: str) -> DataFrame:
     return jaccard_components(table(spark, sf, "documents"), Similarity(width=4, percent=85))
 
 
-def toxic_scores(spark: SparkSession, sf: str) -> DataFrame:
-    docs, held = table(spark, sf, "documents"), toxicity.held_out(F.col("doc_id"), 5, 0)
-    model = toxicity.fit(docs, table(spark, sf, "labels"), ~held)
-    return toxicity.scored(docs, model).select(
+def _judged(scored: DataFrame, held: Column, least: float) -> DataFrame:
+    score = F.col(scored.columns[-1])
+    return scored.select(
         "doc_id",
         held.alias("held_out"),
-        F.col("toxicity").alias("score"),
-        (F.col("toxicity") >= 0.5).cast("int").alias("predicted"),
+        score.alias("score"),
+        (score >= least).cast("int").alias("predicted"),
     )
 
 
+def toxic_scores(spark: SparkSession, sf: str) -> DataFrame:
+    docs, held = table(spark, sf, "documents"), toxicity.held_out(F.col("doc_id"), 5, 0)
+    model = toxicity.fit(docs, table(spark, sf, "labels"), ~held)
+    return _judged(toxicity.scored(docs, model), held, 0.5)
+
+
 def languages(spark: SparkSession, sf: str) -> DataFrame:
     docs, held = table(spark, sf, "documents"), toxicity.held_out(F.col("doc_id"), 3, 1)
     model = language_id.fit(docs, ~held)
-    return language_id.predicted(docs, model).select(
+    made = language_id.predicted(docs, model)
+    language, score = made.columns[-2:]
+    return made.select(
         "doc_id",
         held.alias("held_out"),
-        F.col("language").alias("lang_pred"),
-        F.col("language_score").alias("score"),
+        F.col(language).alias("lang_pred"),
+        F.col(score).alias("score"),
     )
 
 
@@ -106,12 +113,7 @@ def embeddings(spark: SparkSession, sf: str) -> DataFrame:
 def quality_scores(spark: SparkSession, sf: str) -> DataFrame:
     docs, held = table(spark, sf, "documents"), toxicity.held_out(F.col("doc_id"), 5, 0)
     model = quality.fit(docs, table(spark, sf, "labels"), ~held)
-    return quality.scored(docs, model).select(
-        "doc_id",
-        held.alias("held_out"),
-        F.col("quality_score").alias("score"),
-        (F.col("quality_score") >= 0.3).cast("int").alias("predicted"),
-    )
+    return _judged(quality.scored(docs, model), held, 0.3)
 
 
 def source_divergence(spark: SparkSession, sf: str) -> DataFrame:

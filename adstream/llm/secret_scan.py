@@ -15,7 +15,7 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from adstream.llm.tables import split_join
+from adstream.llm.tables import split_join, unused
 
 # The base kinds' patterns and least lengths, in their order.
 ASSIGN = (
@@ -194,34 +194,44 @@ def written(spans: Column) -> Column:
 def redacted(docs: DataFrame, how: Linking = Linking()) -> DataFrame:
     """The documents with a mark in place of each reported span, all columns kept.
 
-    Only texts that can hold a secret are moved. Spans that overlap or touch become
-    one mark; n_chars, where the table has it, is the new text's length.
+    Only texts that can hold a secret are moved. Equal texts are scanned once, and are
+    told by two hashes of theirs. Spans that overlap or touch become one mark; n_chars,
+    where the table has it, is the new text's length. A null or empty text, a null
+    doc_id and repeated rows stay as they are; further columns may have any name.
     """
     text = F.col("text").cast("string")
     suspicious = suspect(text)
     dirty = docs.where(suspicious)
-    spans = scan(dirty.select("doc_id", "text"), how).where(F.size("spans") > 0)
-    spans = spans.groupBy("text_key").agg(F.first("spans").alias("_spans"))
-    keyed = dirty.withColumn("text_key", F.xxhash64(text))
-    joined = split_join(keyed, spans, ["text_key"], "left")
+    other_hash = F.xxhash64(F.lit("other"), text)
+    one, two, spans_of, merged_of, text_of = (
+        unused(name, docs) for name in ("_key", "_other_key", "_spans", "_merged", "_text")
+    )
+    texts = dirty.select(other_hash.alias("doc_id"), text.alias("text")).dropDuplicates(["doc_id", "text"])
+    spans = scan(texts, how).where(F.size("spans") > 0)
+    spans = spans.select(
+        F.col("text_key").alias(one), F.col("doc_id").alias(two), F.col("spans").alias(spans_of)
+    )
+    keyed = dirty.withColumn(one, F.xxhash64(text)).withColumn(two, other_hash)
+    joined = split_join(keyed, spans, [one, two], "left")
     merged = F.expr(
-        "aggregate(_spans, cast(array() as array<struct<a: bigint, b: bigint>>), (done, x) -> "
+        f"aggregate({spans_of}, cast(array() as array<struct<a: bigint, b: bigint>>), (done, x) -> "
         "if(size(done) > 0 and element_at(done, -1).b >= x.start, "
         "concat(slice(done, 1, size(done) - 1), array(named_struct("
         "'a', element_at(done, -1).a, 'b', greatest(element_at(done, -1).b, x.end)))), "
         "concat(done, array(named_struct('a', x.start, 'b', x.end)))))"
     )
     rebuilt = F.expr(
-        "concat(array_join(transform(_merged, (x, k) -> concat("
-        "substring(_text, cast(if(k = 0, 0, _merged[k - 1].b) + 1 as int), "
-        "cast(x.a - if(k = 0, 0, _merged[k - 1].b) as int)), '" + MARK + "')), ''), "
-        "substring(_text, cast(element_at(_merged, -1).b + 1 as int)))"
+        f"concat(array_join(transform({merged_of}, (x, k) -> concat("
+        f"substring({text_of}, cast(if(k = 0, 0, {merged_of}[k - 1].b) + 1 as int), "
+        f"cast(x.a - if(k = 0, 0, {merged_of}[k - 1].b) as int)), '{MARK}')), ''), "
+        f"substring({text_of}, cast(element_at({merged_of}, -1).b + 1 as int)))"
     )
+    changed = F.size(merged_of) > 0
     clean = (
-        joined.withColumn("_text", text)
-        .withColumn("_merged", merged)
-        .withColumn("text", F.when(F.size("_merged") > 0, rebuilt).otherwise(F.col("_text")))
+        joined.withColumn(text_of, text)
+        .withColumn(merged_of, merged)
+        .withColumn("text", F.when(changed, rebuilt).otherwise(F.col(text_of)))
     )
     if "n_chars" in docs.columns:
-        clean = clean.withColumn("n_chars", F.when(F.size("_merged") > 0, F.length("text")).otherwise(F.col("n_chars")))
+        clean = clean.withColumn("n_chars", F.when(changed, F.length("text")).otherwise(F.col("n_chars")))
     return docs.where(~suspicious).unionByName(clean.select(docs.columns))

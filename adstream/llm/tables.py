@@ -9,6 +9,10 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from adstream.session import shared_folder
+from adstream.sources import files
+
+MOST_BITS = 1 << 27
+SHIFTS = (0, 32)
 
 
 def reachable(spark: SparkSession) -> None:
@@ -33,7 +37,24 @@ def stored(df: DataFrame, name: str) -> DataFrame:
     """
     path = shared_folder(df.sparkSession, name)
     df.write.parquet(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path)
+    made = df.sparkSession.read.schema(df.schema).parquet(path)
+    made.stored_at = path
+    return made
+
+
+def discard(*tables: DataFrame) -> None:
+    """Remove tables of ``stored`` once nothing will read them: what was made of them
+    has been stored in turn, so a lost executor sends no one back to them."""
+    for made in tables:
+        files.remove(made.sparkSession, made.stored_at)
+
+
+def unused(name: str, *tables: DataFrame) -> str:
+    """The name, with underscores behind it until no column of the tables has it."""
+    taken = {c.lower() for table in tables for c in table.columns}
+    while name.lower() in taken:
+        name += "_"
+    return name
 
 
 def split_join(left: DataFrame, right: DataFrame, on: list[str], how: str = "inner") -> DataFrame:
@@ -43,7 +64,7 @@ def split_join(left: DataFrame, right: DataFrame, on: list[str], how: str = "inn
     aggregated by the same keys would get no such exchange, so both sides get one
     more key, a hash of the others.
     """
-    shard = "_join_shard"
+    shard = unused("_join_shard", left, right)
     keyed = F.hash(*on)
     both = left.withColumn(shard, keyed).join(
         right.withColumn(shard, keyed), [*on, shard], how
@@ -55,27 +76,33 @@ def hashed_sample(df: DataFrame, bound: int, *keys: str, draw: int = 0) -> DataF
     """At most ``bound`` rows, those of the lowest hashes of their keys.
 
     Rows are cut to the share of hashes that holds about twice as many before they are
-    ordered, so little is moved however many there are.
+    ordered, so little is moved however many there are. The share follows the number
+    of different hashes, as equal rows are all below the cut or all above it.
     """
     mark = F.xxhash64(*keys, F.lit(draw))
-    rows = df.count()
-    if rows > 2 * bound:
-        df = df.where(mark < F.lit(int(-(1 << 63) + (1 << 64) * (2 * bound / rows))))
+    rows = df.agg(F.approx_count_distinct(mark)).first()[0]
+    if rows > 4 * bound:
+        df = df.where(mark < F.lit(int(-(1 << 63) + (1 << 64) * (4 * bound / rows))))
     return df.orderBy(mark, *keys).limit(bound)
 
 
-def membership(keys: DataFrame, column: str, bits: int = 1 << 23) -> np.ndarray:
-    """A Bloom filter over a column of longs, two bits a key, as packed words.
+def membership(keys: DataFrame, column: str, per_key: int = 16) -> np.ndarray:
+    """A Bloom filter over a column of mixed longs, two bits a key, as packed words.
 
-    It has ``bits`` bits (a power of two) whatever the number of keys, so the driver
-    gets at most ``bits / 64`` rows. With too many keys it lets more through, never
-    less; an exact join follows wherever it is used.
+    It has ``per_key`` bits a key, but no more than MOST_BITS, so the driver gets at
+    most ``MOST_BITS / 64`` rows. With more keys than that it lets more through, never
+    less; an exact join follows wherever it is used. Of other keys about a share of
+    ``4 / per_key ** 2`` pass.
     """
     key = F.col(column)
-    slots = F.array(*[F.shiftright(key, k).bitwiseAND(F.lit(bits - 1)) for k in (0, 24)])
+    keys = keys.where(key.isNotNull())
+    count = keys.agg(F.approx_count_distinct(key)).first()[0]
+    bits = 1 << 16
+    while bits < min(per_key * count, MOST_BITS):
+        bits *= 2
+    slots = F.array(*[F.shiftright(key, k).bitwiseAND(F.lit(bits - 1)) for k in SHIFTS])
     words = (
-        keys.where(key.isNotNull())
-        .select(F.explode(slots).alias("slot"))
+        keys.select(F.explode(slots).alias("slot"))
         .select(F.shiftright("slot", 6).cast("int").alias("word"), F.expr("cast(slot & 63 as int)").alias("bit"))
         .groupBy("word")
         .agg(F.bit_or(F.expr("shiftleft(1L, bit)")).alias("mask"))
@@ -89,7 +116,7 @@ def membership(keys: DataFrame, column: str, bits: int = 1 << 23) -> np.ndarray:
 def passes(found: np.ndarray, keys: np.ndarray) -> np.ndarray:
     """Which int64 keys the filter lets through."""
     let = np.ones(len(keys), bool)
-    for k in (0, 24):
+    for k in SHIFTS:
         slot = (keys >> k) & (len(found) * 64 - 1)
         let &= (found[slot >> 6] >> (slot & 63).astype(np.uint64)) & np.uint64(1) != 0
     return let

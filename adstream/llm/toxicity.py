@@ -26,7 +26,7 @@ import zstandard
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from adstream.llm.tables import hashed_sample
+from adstream.llm.tables import hashed_sample, unused
 from adstream.llm.words import ascii_fold
 
 GRAM = 5
@@ -276,7 +276,9 @@ def fit(docs: DataFrame, labels: DataFrame, learn: Column, how: Fit = Fit()) ->
 
 
 def scored(docs: DataFrame, model: Model) -> DataFrame:
-    """The documents with a column ``toxicity`` between 0 and 1.
+    """The documents with a column ``toxicity`` between 0 and 1 behind their own.
+
+    Where they have a column of that name, the new one has an underscore more.
 
     A null or empty text is scored as one empty window. Every row keeps its row and its
     columns; repeated rows score alike. No rows give no rows.
@@ -288,4 +290,4 @@ def scored(docs: DataFrame, model: Model) -> DataFrame:
         made = np.array([_features(t, *coders, model.fit) for t in texts]).reshape(-1, FEATURES)
         return pd.Series(1 / (1 + np.exp(-np.clip(made @ model.weights, -30, 30))))
 
-    return docs.withColumn("toxicity", toxicity(F.col("text").cast("string")))
+    return docs.withColumn(unused("toxicity", docs), toxicity(F.col("text").cast("string")))

@@ -36,6 +36,7 @@ DIGITS = "0123456789ABCDEFGHIJKLMNOPQRSTUV"
 BASE32 = "ABCDEFGHIJKLMNOPQRSTUVWXYZ234567"
 PROFILE = "http://netpreserve.org/warc/1.1/revisit/identical-payload-digest"
 
+READ_BYTES = 1 << 25
 INDEX = (
     "record_id string, page_id bigint, bundle string, frame int, offset bigint, length bigint"
 )
@@ -241,12 +242,15 @@ def write_archive(pages: DataFrame, folder: str, how: Bundling = Bundling()) ->
 def read_archive(index: DataFrame, folder: str) -> DataFrame:
     """The records of an index, or of any part of it, from their frames.
 
-    Each frame is read once, by its bundle's seek table, and its checksum tested.
+    Each frame is read once, by its bundle's seek table, and its checksum tested. There
+    is a task for every READ_BYTES of records, as the index itself is too small to tell.
     """
+    size = index.agg(F.sum("length")).first()[0] or 0
+    tasks = size // READ_BYTES + 1
     frames = index.groupBy("bundle", "frame").agg(
         F.sort_array(F.collect_list(F.struct("offset", "length"))).alias("records")
     )
-    frames = frames.repartition("bundle", "frame").sortWithinPartitions("bundle", "frame")
+    frames = frames.repartition(tasks, "bundle", "frame").sortWithinPartitions("bundle", "frame")
 
     def read(batches):
         store, path = fs.FileSystem.from_uri(folder)

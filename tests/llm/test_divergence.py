@@ -7,6 +7,7 @@ import pyarrow as pa
 import pytest
 
 from adstream.llm import divergence as audit
+from adstream.llm import tables
 from adstream.llm.sql import ORACLES
 
 from .conftest import LONG
@@ -107,7 +108,7 @@ def test_sums_of_pairs_alike_dense_or_not():
 def test_few_ranks_small_blocks_and_crowded_filters(spark, monkeypatch):
     """Bounds that workers see through what the closures carry change no result."""
     rows = made_rows(random.Random(9), 150)
-    monkeypatch.setattr(audit, "MOST_BITS", 1 << 16)
+    monkeypatch.setattr(tables, "MOST_BITS", 1 << 16)
     monkeypatch.setattr(audit, "BLOCK_ENTRIES", 7)
     assert found(spark, rows, ranks=3) == brute(rows, ranks=3)
 

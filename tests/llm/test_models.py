@@ -127,3 +127,69 @@ def test_rare_insults_are_learned_at_every_size_and_mix(spark):
         told = [r.toxicity >= 0.5 for r in rows if r.toxic and any(w in r.text for w in rude)]
         assert sum(told) >= 0.9 * len(told)
         assert sum(r.toxicity >= 0.5 for r in rows if not r.toxic) <= 0.03 * n_ordinary
+
+
+def test_windows_features_equal_plain_python():
+    """The score's features, compressed window by window without numpy."""
+    import math
+
+    import numpy as np
+    import zstandard
+
+    draw = random.Random(8)
+    fit = toxicity.Fit()
+    ordinary, rude = (" ".join(MILD) * 20).encode(), ("gruntface snotwort " * 20).encode()
+    coders = [toxicity._coder(ordinary), toxicity._coder(ordinary + rude)]
+
+    def plain(text):
+        folded = "".join(c.lower() if "A" <= c <= "Z" else " " if c in "\t\n\v\f\r" else c for c in text or "")
+        data = (" " + folded + " ").encode()
+        saved, at = [], 0
+        while not saved or at + fit.window - fit.step < len(data):
+            part = data[at : at + fit.window]
+            sizes = [len(zstandard.ZstdCompressor.compress(c, part)) for c in coders]
+            saved.append(sizes[0] - sizes[1])
+            at += fit.step
+        n = len(saved)
+        strong = [sum(s >= k for s in saved) for k in (2, 3, 4)]
+        return [1.0, max(saved), sum(saved) / n, *(math.log(1 + s) for s in strong), strong[1] / n, math.log(n)]
+
+    texts = [None, "", "Gruntface\tÉ", *(sentence(draw, k % 2) for k in range(30)), sentence(draw, True) * 40]
+    for text in texts:
+        got = toxicity._features(text, *(c.compress for c in coders), fit)
+        assert np.allclose(got, plain(text)), text
+
+
+def test_convolution_equals_plain_loops():
+    import math
+
+    import numpy as np
+
+    model = language_id.Model(language_id.Net(window=10, filters=3, embedding=2), ["x", "y", "z"])
+    w = {k: v.astype(float) for k, v in model.w.items()}
+    draw = np.random.default_rng(3)
+    x = draw.integers(0, 256, (4, 10)).astype(np.uint8)
+    got = model.forward(x)[0]
+    for row, found in zip(x, got, strict=True):
+        high = []
+        for width in model.net.widths:
+            for f in range(3):
+                sums = []
+                for at in range(10 - width + 1):
+                    total = 0.0
+                    for k in range(width):
+                        for e in range(2):
+                            total += w["bytes"][row[at + k], e] * w[f"filter{width}"][k * 2 + e, f]
+                    sums.append(total)
+                high.append(max(sums))
+        active = [max(h + b, 0.0) for h, b in zip(high, w["bias"], strict=True)]
+        logit = [sum(a * w["out"][k, c] for k, a in enumerate(active)) + w["out_bias"][c] for c in range(3)]
+        total = math.log(sum(math.exp(v) for v in logit))
+        assert np.allclose(found, [v - total for v in logit], atol=1e-4)
+
+
+def test_a_letter_is_of_category_l(model, texts):
+    _, found = model
+    odd = texts([(1, "½ ² 12"), (2, "Ⅷ ①"), (3, "ʰ"), (4, "漢"), (5, "_")])
+    got = {r.doc_id: r.language for r in language_id.predicted(odd, found).collect()}
+    assert [got[k] == "und" for k in range(1, 6)] == [True, True, False, False, True]

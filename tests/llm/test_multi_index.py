@@ -78,3 +78,12 @@ def test_rare_links_are_found_whatever_the_sample_holds(spark):
     made = found(spark, rows, Index(queries=16))
     assert sum(r[1] for r in made) >= 0.9 * 200
     assert all(r[1] <= 1 and r[2] == (r[0] - 4000 if r[0] >= 4000 and r[1] else r[0]) for r in made)
+
+
+def test_vectors_of_each_dimension_link_among_themselves(spark):
+    rows = [(k, [1.0, k / 1000] + [0.0] * 6) for k in range(5)] + [(10 + k, [0.0, 2.0, 1.0]) for k in range(3)]
+    rows += [(20, [1.0, 0.0]), (21, [0.0, 1.0]), (22, [3.0])]
+    got = {r[0]: r[1:3] for r in found(spark, rows)}
+    assert [got[k] for k in range(5)] == [(4, 0)] * 5
+    assert [got[10 + k] for k in range(3)] == [(2, 10)] * 3
+    assert [got[k] for k in (20, 21, 22)] == [(0, 20), (0, 21), (0, 22)]

@@ -52,8 +52,8 @@ def test_odd_texts_and_tables(marked, texts):
         by_id.setdefault(r.doc_id, set()).add(r.quality_score)
     assert by_id[1] == by_id[2] and len(by_id[4]) == 1
     assert quality.scored(texts([]), model).collect() == []
-    with pytest.raises(ValueError):
-        quality.scored(docs.withColumn("quality_score", F.lit(1)), model)
+    clashing = quality.scored(docs.limit(1).withColumn("quality_score", F.lit(7)), model)
+    assert clashing.columns[-2:] == ["quality_score", "quality_score_"] and clashing.first()["quality_score"] == 7
 
 
 def test_labels_of_one_kind_or_none_give_their_share(marked):

@@ -3,6 +3,7 @@ import hashlib
 
 import pyarrow.fs as fs
 import pytest
+from pyspark.sql import functions as F
 
 from adstream.llm import warc
 
@@ -76,3 +77,13 @@ def test_damage_is_found():
 
 def test_no_pages(spark):
     assert warc.round_trip(spark.createDataFrame([], SCHEMA)).collect() == []
+
+
+def test_records_are_read_by_several_tasks(spark, monkeypatch):
+    pages = spark.createDataFrame([(k, f"u{k}", f"<p>{k}</p>" * 50) for k in range(200)], "page_id long, url string, html string")
+    folder = warc.archive_folder(pages, "warc")
+    index = warc.write_archive(warc.with_revisits(pages), folder, warc.Bundling(frame_bytes=2048))
+    monkeypatch.setattr(warc, "READ_BYTES", 20_000)
+    made = warc.read_archive(index, folder).withColumn("task", F.spark_partition_id())
+    assert made.count() == 200
+    assert made.select("task").distinct().count() > 1
