@@ -10,7 +10,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from adstream.llm.tables import split_join, stored
+from adstream.llm.tables import discard, split_join, stored
 
 
 def _hang(links: DataFrame, large: bool) -> DataFrame:
@@ -49,6 +49,7 @@ def components(links: DataFrame) -> DataFrame:
     now = links.select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b"))
     now = stored(now.where("a <> b").distinct(), "links")
     while _unsettled(now):
-        now = stored(_hang(_hang(now, True), False), "links")
+        before, now = now, stored(_hang(_hang(now, True), False), "links")
+        discard(before)
     roots = now.select(F.col("b").alias("node"), F.col("b").alias("component")).distinct()
     return roots.unionByName(now.select(F.col("a").alias("node"), F.col("b").alias("component")))

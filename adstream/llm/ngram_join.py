@@ -25,7 +25,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from adstream.llm.components import components
-from adstream.llm.tables import membership, passes, split_join, stored
+from adstream.llm.tables import discard, membership, passes, split_join, stored, unused
 from adstream.llm.words import ascii_fold, mixed, sets
 
 LOCAL_REPEATS = 3
@@ -85,6 +85,7 @@ def common_levels(docs: DataFrame, width: int) -> np.ndarray:
             least = row["level"] + 1
             break
     rows = taken.where(F.col("level") >= least).toPandas()
+    discard(taken)
     levels = np.zeros(SLOTS, np.uint8)
     levels[rows["slot"].to_numpy(np.int64)] = rows["level"].to_numpy(np.int64)
     return levels
@@ -118,12 +119,12 @@ def profiles(docs: DataFrame, like: Similarity, levels: np.ndarray) -> DataFrame
 
 def _sets_of(docs: DataFrame, ids: DataFrame, width: int) -> DataFrame:
     """(doc_id, set) of the documents that are in ``ids``, and of some more."""
-    wanted = membership(ids, "id")
+    wanted = membership(ids.select(F.xxhash64("id").alias("key")), "key")
 
     def picked(batches):
         for batch in batches:
             ids, texts = batch.column(0), batch.column(1)
-            keep = passes(wanted, ids.to_numpy(zero_copy_only=False).astype(np.int64))
+            keep = passes(wanted, batch.column(2).to_numpy())
             rows = np.flatnonzero(keep)
             made = [s.tobytes() for _, s in sets(texts.take(pa.array(rows)), width, ascii_fold())]
             yield pa.RecordBatch.from_arrays(
@@ -131,11 +132,12 @@ def _sets_of(docs: DataFrame, ids: DataFrame, width: int) -> DataFrame:
             )
 
     known = docs.select(_long("doc_id").alias("doc_id"), "text").where("doc_id is not null")
+    known = known.withColumn("key", F.xxhash64("doc_id"))
     return known.mapInArrow(picked, "doc_id bigint, set binary")
 
 
 def verified(docs: DataFrame, pairs: DataFrame, like: Similarity) -> DataFrame:
-    """The pairs (a, b) of documents whose whole sets are similar."""
+    """The pairs (a, b) of documents whose whole sets are similar, stored."""
     pairs = stored(pairs, "pairs")
     ids = pairs.select(F.col("a").alias("id")).unionByName(pairs.select(F.col("b").alias("id")))
     found = stored(_sets_of(docs, ids, like.width), "sets")
@@ -157,7 +159,10 @@ def verified(docs: DataFrame, pairs: DataFrame, like: Similarity) -> DataFrame:
             ).filter(pa.array(keep, pa.bool_()))
 
     joined = split_join(split_join(pairs, one, ["a"]), other, ["b"])
-    return joined.select("a", "b", "set_a", "set_b").mapInArrow(compared, "a bigint, b bigint")
+    made = joined.select("a", "b", "set_a", "set_b").mapInArrow(compared, "a bigint, b bigint")
+    made = stored(made, "links_found")
+    discard(pairs, found)
+    return made
 
 
 def _alike(one: str, other: str, percent: int) -> Column:
@@ -230,7 +235,7 @@ def jaccard_components(docs: DataFrame, like: Similarity = Similarity()) -> Data
     leaders = members.select(F.col("group_id").alias("gb"), F.col("set_id").alias("b"))
     outer = split_join(stars.select("ga", "gb"), leaders, ["gb"], "left")
     outer = outer.select(F.col("ga").alias("a"), F.coalesce("b", "gb").alias("b"))
-    first = stored(verified(docs, outer.unionByName(own), like), "first_links")
+    first = verified(docs, outer.unionByName(own), like)
 
     parts = stored(components(first), "first_components")
     sets_now = members.select("group_id", "set_id").unionByName(
@@ -296,6 +301,7 @@ def jaccard_components(docs: DataFrame, like: Similarity = Similarity()) -> Data
     second = second.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
     links = first.unionByName(verified(docs, second, like)).unionByName(copies)
     found = components(links)
+    discard(whole, shared, members, first, parts, sets_now, placed)
     return split_join(
         seen.select("doc_id", F.col("size").alias("n_shingles")),
         found.withColumnRenamed("node", "doc_id"),
@@ -308,12 +314,31 @@ def representatives(docs: DataFrame, like: Similarity = Similarity()) -> DataFra
     """One document of each component, that with the smallest doc_id, all columns kept.
 
     Documents without shingles, and those with a null doc_id, all stay. Of rows with
-    one doc_id and one text a single one stays.
+    one doc_id and one text a single one stays. Further columns may have any name.
+
+    Most documents are alone, and those stay where they are: only rows that a filter
+    over the ids of linked and repeated documents lets through are moved and decided
+    exactly, so the filter's mistakes cost time and change nothing.
     """
-    found = jaccard_components(docs, like)
-    kept = found.where("doc_id = component_id").select(F.col("doc_id").alias("_kept_id")).distinct()
-    keyed = docs.withColumn("_kept_id", F.col("doc_id").cast("bigint"))
-    one = split_join(keyed, kept, ["_kept_id"], "left_semi")
-    one = one.withColumn("_text_key", F.xxhash64("text")).dropDuplicates(["_kept_id", "_text_key"])
-    nameless = docs.where(F.col("doc_id").isNull())
-    return one.select(docs.columns).unionByName(nameless)
+    found = stored(jaccard_components(docs, like), "components")
+    ids = found.where("doc_id is not null").groupBy("doc_id")
+    ids = ids.agg(F.min("component_id").alias("component_id"), F.count("*").alias("rows"))
+    ids = stored(ids.withColumn("stays", F.col("doc_id") == F.col("component_id")), "component_ids")
+    discard(found)
+    doubtful = ids.where("not stays or rows > 1")
+    filter_ = membership(doubtful.select(F.xxhash64("doc_id").alias("key")), "key")
+
+    @F.arrow_udf("boolean")
+    def in_doubt(keys: pa.Array) -> pa.Array:
+        return pa.array(passes(filter_, keys.to_numpy(zero_copy_only=False)))
+
+    number = _long("doc_id")
+    asked = F.coalesce(in_doubt(F.xxhash64(number)), F.lit(False)) & number.isNotNull()
+    mark = unused("_asked", docs)
+    key = unused("_kept_id", docs)
+    marked = docs.withColumn(mark, asked)
+    sure = marked.where(~F.col(mark)).select(docs.columns)
+    rest = marked.where(mark).drop(mark).withColumn(key, number)
+    kept = ids.where("stays").select(F.col("doc_id").alias(key))
+    one = split_join(rest, kept, [key], "left_semi").dropDuplicates([key, "text"])
+    return sure.unionByName(one.select(docs.columns))

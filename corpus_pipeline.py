@@ -18,7 +18,8 @@ def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents scored below one half by a model of all labelled documents."""
     reachable(spark)
     model = toxicity.fit(docs, table(spark, sf_dir, "labels"), F.lit(True))
-    return toxicity.scored(docs, model).where("toxicity < 0.5").select(docs.columns)
+    scored = toxicity.scored(docs, model)
+    return scored.where(F.col(scored.columns[-1]) < 0.5).select(docs.columns)
 
 
 def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
