@@ -100,22 +100,51 @@ b as (select *, coalesce(sum(length(line) + 1) over (partition by doc_id order b
         rows between unbounded preceding and 1 preceding), 0) base from l),
 m as (select doc_id, k, base, regexp_extract_all(line, '[^\x20\x09-\x0D]+') w,
         string_split_regex(line, '[^\x20\x09-\x0D]+') g from b),
-x as (select doc_id, k, base, unnest(w) w, unnest(list_slice(g, 1, len(w))) g, unnest(range(len(w))) p
+x as (select doc_id, k, base, unnest(w) o, unnest(list_slice(g, 1, len(w))) g, unnest(range(len(w))) p
       from m where len(w) > 0),
-y as (select *, sum(length(g) + length(w)) over (partition by doc_id, k order by p) + base e,
-        coalesce(lag(w) over (partition by doc_id, k order by p), '.') before from x),
-z as (select *, sum(cast(right(before, 1) in ('.', '!', '?') as int)) over
-        (partition by doc_id order by k, p) unit from y),
-u as (select doc_id, unit, min(e - length(w)) s, max(e) e, count(*) words,
-        string_agg(translate(w, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), ' ' order by k, p) t
-      from z group by 1, 2),
-f as (select *, first_value(doc_id) over o fd, first_value(s) over o fs from u
-      window o as (partition by t order by doc_id, s)),
-a as (select *, unit - row_number() over (partition by doc_id order by unit) island from f
-      where (doc_id, s) <> (fd, fs))
-select doc_id, cast(min(s) as bigint) as "start", cast(max(e) as bigint) as "end",
-  cast(sum(words) as bigint) words, count(*) units, arg_min(fd, s) kept_doc_id,
-  cast(arg_min(fs, s) as bigint) kept_start from a group by doc_id, island having sum(words) filter (words >= 4) >= 25"""
+y as (select *, translate(o, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') w,
+        sum(length(g) + length(o)) over (partition by doc_id, k order by p) + base e,
+        coalesce(lag(o) over (partition by doc_id, k order by p), '.') before from x),
+v as (select w, 37 * list_sum(list_transform(string_split(w, ''), lambda c: unicode(c) % 64)) % 101 v
+      from (select distinct w from y)),
+z as (select y.*, v, sum(cast(right(before, 1) in ('.', '!', '?') as int)) over
+        (partition by doc_id order by k, p) sentence from y join v using (w)),
+c as (select *, right(before, 1) in ('.', '!', '?') or count(*) over (partition by doc_id, sentence) > 24
+        and coalesce(v < min(v) over (partition by doc_id, k order by p rows between 4 preceding and 1 preceding), true)
+        and coalesce(v <= min(v) over (partition by doc_id, k order by p rows between 1 following and 4 following), true)
+        begins from z),
+d as (select *, sum(cast(begins as int)) over (partition by doc_id order by k, p) unit from c),
+u as (select doc_id, unit, any_value(k) k, min(e - length(o)) s, max(e) e, count(*) words, list(w order by p) a,
+        list(e - length(o) order by p) starts, list(e order by p) ends from d group by 1, 2),
+f as (select *, first_value(doc_id) over t fd, first_value(s) over t fs, first_value(unit) over t fu from u
+      window t as (partition by a order by doc_id, unit)),
+h as (select doc_id, k, list(w order by p) a from d group by 1, 2 having count(*) >= 5),
+q as (select doc_id, k from h qualify row_number() over (partition by a order by doc_id, k) > 1),
+r as (select f.*, q.k is not null whole, unit - row_number() over (partition by f.doc_id order by unit) island
+      from f left join q using (doc_id, k) where (f.doc_id, unit) <> (fd, fu)),
+t as (select *, words >= 4 or coalesce((lag(fd) over o, lag(fu) over o) = (fd, fu - 1) and lag(unit) over o = unit - 1, false)
+        or coalesce((lead(fd) over o, lead(fu) over o) = (fd, fu + 1) and lead(unit) over o = unit + 1, false) counts,
+        row_number() over (partition by doc_id, island order by words desc, unit) longest
+      from r window o as (partition by doc_id order by unit)),
+i as (select doc_id, island, min(unit) u0, max(unit) u1, min(s) s, max(e) e, sum(words) words, count(*) units,
+        coalesce(sum(words) filter (counts), 0) counted, arg_min(fd, unit) kd, arg_min(fs, unit) ks,
+        any_value(fd) filter (longest = 1) ad, any_value(fu - unit) filter (longest = 1) moved from t group by 1, 2),
+n as (select i.*, b.starts, g.ends,
+        coalesce(list_max(list_filter(range(1, least(len(b.a), len(kb.a)) + 1),
+          lambda n: b.a[len(b.a) - n + 1:] = kb.a[len(kb.a) - n + 1:])), 0) nb,
+        coalesce(list_max(list_filter(range(1, least(len(g.a), len(kg.a)) + 1), lambda n: g.a[1:n] = kg.a[1:n])), 0) ng
+      from i left join u b on b.doc_id = i.doc_id and b.unit = u0 - 1
+      left join u g on g.doc_id = i.doc_id and g.unit = u1 + 1
+      left join u kb on kb.doc_id = ad and kb.unit = u0 - 1 + moved
+      left join u kg on kg.doc_id = ad and kg.unit = u1 + 1 + moved),
+j as (select doc_id, island, case when nb > 0 then starts[len(starts) - nb + 1] else s end s,
+        case when ng > 0 then ends[ng] else e end e, words + nb + ng words, units, kd, ks from n where counted + nb + ng >= 25),
+o as (select *, unit - row_number() over (partition by doc_id, island order by unit) part from t
+      where whole and (doc_id, island) not in (select (doc_id, island) from j)),
+a as (select doc_id, s, e, words, units, kd, ks from j union all
+      select doc_id, min(s), max(e), sum(words), count(*), arg_min(fd, unit), arg_min(fs, unit) from o group by doc_id, island, part)
+select doc_id, cast(s as bigint) as "start", cast(e as bigint) as "end", cast(words as bigint) words, units,
+  kd kept_doc_id, cast(ks as bigint) kept_start from a"""
 
 _TEMPLATES = ", ".join(f"({_quoted(k)}, {_quoted(v)})" for k, v in licences.TEMPLATES.items())
 
