@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from adstream.llm import decontamination, licences, secret_scan
+from adstream.llm import decontamination, secret_scan
 
 _BASE32 = "ABCDEFGHIJKLMNOPQRSTUVWXYZ234567"
 
@@ -146,37 +146,119 @@ a as (select doc_id, s, e, words, units, kd, ks from j union all
 select doc_id, cast(s as bigint) as "start", cast(e as bigint) as "end", cast(words as bigint) words, units,
   kd kept_doc_id, cast(ks as bigint) kept_start from a"""
 
-_TEMPLATES = ", ".join(f"({_quoted(k)}, {_quoted(v)})" for k, v in licences.TEMPLATES.items())
+_LICENCE_TEXTS = """
+  ('apache-2.0', 'SPDX-License-Identifier: Apache-2.0'),
+  ('apache-2.0', 'Apache License Version 2.0, January 2004'),
+  ('apache-2.0', 'Licensed under the Apache License, Version 2.0.'),
+  ('apache-2.0', 'Licensed under the Apache License, Version 2.0 (the "License"); you may not use this file except in compliance with
+    the License.'),
+  ('mit', 'SPDX-License-Identifier: MIT'),
+  ('mit', 'MIT License'),
+  ('mit', 'Released under the MIT License.'),
+  ('mit', 'Licensed under the MIT License.'),
+  ('mit', 'The MIT License (MIT)'),
+  ('mit', 'MIT License Permission is hereby granted, free of charge, to any person obtaining a copy of this software and
+    associated documentation files (the "Software"), to deal in the Software without restriction, including without
+    limitation the rights to use, copy, modify, merge, publish, distribute, sublicense, and/or sell copies of the
+    Software, and to permit persons to whom the Software is furnished to do so, subject to the following conditions: The
+    above copyright notice and this permission notice shall be included in all copies or substantial portions of the
+    Software. THE SOFTWARE IS PROVIDED "AS IS", WITHOUT WARRANTY OF ANY KIND, EXPRESS OR IMPLIED, INCLUDING BUT NOT
+    LIMITED TO THE WARRANTIES OF MERCHANTABILITY, FITNESS FOR A PARTICULAR PURPOSE AND NONINFRINGEMENT. IN NO EVENT SHALL
+    THE AUTHORS OR COPYRIGHT HOLDERS BE LIABLE FOR ANY CLAIM, DAMAGES OR OTHER LIABILITY, WHETHER IN AN ACTION OF
+    CONTRACT, TORT OR OTHERWISE, ARISING FROM, OUT OF OR IN CONNECTION WITH THE SOFTWARE OR THE USE OR OTHER DEALINGS IN
+    THE SOFTWARE.'),
+  ('gpl-3.0', 'SPDX-License-Identifier: GPL-3.0-or-later'),
+  ('gpl-3.0', 'SPDX-License-Identifier: GPL-3.0-only'),
+  ('gpl-3.0', 'GNU GENERAL PUBLIC LICENSE Version 3, 29 June 2007'),
+  ('gpl-3.0', 'This work is licensed under the GNU General Public License, version 3.'),
+  ('gpl-3.0', 'under the terms of the GNU General Public License as published by the Free Software Foundation, either version 3 of
+    the License, or (at your option) any later version.'),
+  ('gpl-2.0', 'SPDX-License-Identifier: GPL-2.0-or-later'),
+  ('gpl-2.0', 'SPDX-License-Identifier: GPL-2.0-only'),
+  ('gpl-2.0', 'GNU GENERAL PUBLIC LICENSE Version 2, June 1991'),
+  ('gpl-2.0', 'This work is licensed under the GNU General Public License, version 2.'),
+  ('gpl-2.0', 'under the terms of the GNU General Public License as published by the Free Software Foundation; either version 2 of
+    the License, or (at your option) any later version.'),
+  ('lgpl-3.0', 'SPDX-License-Identifier: LGPL-3.0-or-later'),
+  ('lgpl-3.0', 'SPDX-License-Identifier: LGPL-3.0-only'),
+  ('lgpl-3.0', 'GNU LESSER GENERAL PUBLIC LICENSE Version 3, 29 June 2007'),
+  ('lgpl-3.0', 'Licensed under the GNU Lesser General Public License, version 3.'),
+  ('bsd-3-clause', 'SPDX-License-Identifier: BSD-3-Clause'),
+  ('bsd-3-clause', 'BSD 3-Clause License'),
+  ('bsd-3-clause', 'Licensed under the BSD 3-Clause License.'),
+  ('bsd-3-clause', 'Redistribution and use in source and binary forms are permitted under the BSD 3-Clause License.'),
+  ('bsd-3-clause', 'BSD 3-Clause License All rights reserved. Redistribution and use in source and binary forms, with or without
+    modification, are permitted provided that the following conditions are met: 1. Redistributions of source code must
+    retain the above copyright notice, this list of conditions and the following disclaimer. 2. Redistributions in binary
+    form must reproduce the above copyright notice, this list of conditions and the following disclaimer in the
+    documentation and/or other materials provided with the distribution. 3. Neither the name of the copyright holder nor
+    the names of its contributors may be used to endorse or promote products derived from this software without specific
+    prior written permission. THIS SOFTWARE IS PROVIDED BY THE COPYRIGHT HOLDERS AND CONTRIBUTORS "AS IS" AND ANY EXPRESS
+    OR IMPLIED WARRANTIES, INCLUDING, BUT NOT LIMITED TO, THE IMPLIED WARRANTIES OF MERCHANTABILITY AND FITNESS FOR A
+    PARTICULAR PURPOSE ARE DISCLAIMED. IN NO EVENT SHALL THE COPYRIGHT HOLDER OR CONTRIBUTORS BE LIABLE FOR ANY DIRECT,
+    INDIRECT, INCIDENTAL, SPECIAL, EXEMPLARY, OR CONSEQUENTIAL DAMAGES (INCLUDING, BUT NOT LIMITED TO, PROCUREMENT OF
+    SUBSTITUTE GOODS OR SERVICES; LOSS OF USE, DATA, OR PROFITS; OR BUSINESS INTERRUPTION) HOWEVER CAUSED AND ON ANY
+    THEORY OF LIABILITY, WHETHER IN CONTRACT, STRICT LIABILITY, OR TORT (INCLUDING NEGLIGENCE OR OTHERWISE) ARISING IN ANY
+    WAY OUT OF THE USE OF THIS SOFTWARE, EVEN IF ADVISED OF THE POSSIBILITY OF SUCH DAMAGE.'),
+  ('mpl-2.0', 'SPDX-License-Identifier: MPL-2.0'),
+  ('mpl-2.0', 'Mozilla Public License Version 2.0'),
+  ('mpl-2.0', 'Subject to the terms of the Mozilla Public License, version 2.0.'),
+  ('mpl-2.0', 'This Source Code Form is subject to the terms of the Mozilla Public License, v. 2.0.'),
+  ('cc-by-4.0', 'SPDX-License-Identifier: CC-BY-4.0'),
+  ('cc-by-4.0', 'Creative Commons Attribution 4.0 International'),
+  ('cc-by-4.0', 'Licensed under CC BY 4.0.'),
+  ('cc-by-4.0', 'This work is licensed under a Creative Commons Attribution 4.0 International License.'),
+  ('cc-by-nc-4.0', 'SPDX-License-Identifier: CC-BY-NC-4.0'),
+  ('cc-by-nc-4.0', 'Creative Commons Attribution-NonCommercial 4.0 International'),
+  ('cc-by-nc-4.0', 'Licensed under CC BY-NC 4.0.'),
+  ('cc-by-nc-4.0', 'This work is licensed under a Creative Commons Attribution-NonCommercial 4.0 International License.'),
+  ('cc-by-sa-4.0', 'SPDX-License-Identifier: CC-BY-SA-4.0'),
+  ('cc-by-sa-4.0', 'Creative Commons Attribution-ShareAlike 4.0 International'),
+  ('cc-by-sa-4.0', 'Licensed under CC BY-SA 4.0.'),
+  ('cc-by-sa-4.0', 'This work is licensed under a Creative Commons Attribution-ShareAlike 4.0 International License.'),
+  ('proprietary', 'All rights reserved.'),
+  ('proprietary', 'Copyright. All rights reserved.'),
+  ('proprietary', 'Copyright. All rights reserved. Unauthorized copying is prohibited.'),
+  ('proprietary', 'Proprietary and confidential. Unauthorized copying of this file is strictly prohibited.')"""
+
+_LICENCE_WORD = "regexp_extract_all(lower(p), '[a-z0-9]+(?:[.][0-9]+)*')"
+_SPEAKS = """regexp_matches(line, 'licen[cs]e|copyright|redistribution|all rights reserved|permission is hereby granted|'
+    || 'creative commons|unauthori[sz]ed copying', 'i')"""
 
 LICENCES = rf"""
-with t(licence, line) as (values {_TEMPLATES}),
+with t as (select *, row_number() over () n from (values {_LICENCE_TEXTS}) x(licence, p)),
 d as (select concat_ws('/', source, lang, coalesce(cast(doc_id as varchar), '')) path, coalesce(text, '') text
       from documents),
-l as (select path, unnest(string_split(text, chr(10))) line,
+l as (select path, text, unnest(string_split(text, chr(10))) line,
         unnest(range(len(string_split(text, chr(10))))) k from d),
-h as (select path, trim(line, ' ') line, k from l
-      where regexp_matches(line, '{licences.HEADER}')),
-c as (select line, count(*) times from h group by 1),
-lw as (select line, times, unnest(regexp_extract_all(lower(line), '{licences.WORD}')) w from c),
-lt as (select line, times, w, count(*) tf from lw group by 1, 2, 3),
-tw as (select licence, unnest(regexp_extract_all(lower(line), '{licences.WORD}')) w from t),
-tt as (select licence, w, count(*) tf from tw group by 1, 2),
-n as (select (select count(*) from h) + (select count(*) from t) n),
-i as (select w, ln((n + 1) / (sum(times) + 1)) + 1 idf from (select w, times from lt
-      union all select w, 1 from tt), n group by w, n),
-lv as (select line, w, tf * idf x from lt join i using (w)),
-tv as (select licence, w, tf * idf y from tt join i using (w)),
-s as (select line, licence, round(sum(x * y) / (any_value(xn) * any_value(yn)), 6) cosine from lv join tv using (w)
-      join (select line, sqrt(sum(x * x)) xn from lv group by 1) using (line)
-      join (select licence, sqrt(sum(y * y)) yn from tv group by 1) using (licence) group by 1, 2),
-b as (select line, licence, cosine from s where cosine >= 0.7
-      qualify row_number() over (partition by line order by cosine desc, licence) = 1),
-o as (select path, licence, cosine, len(regexp_extract_all(lower(h.line), '{licences.WORD}')) hw
-      from h join b using (line) qualify row_number() over (partition by path order by cosine desc, k) = 1),
-f as (select d.path, regexp_replace(d.path, '/?[^/]*$', '') dir, licence, cosine, hw,
-        len(regexp_extract_all(lower(text), '{licences.WORD}')) nw from d left join o using (path)),
-g as (select dir, path, licence, cosine from f where licence is not null and nw <= hw + 40
-      qualify row_number() over (partition by dir order by cosine desc, path) = 1),
+h as (select *, {_SPEAKS} tells, trim(line, ' ') = '' blank, lead(line) over w after,
+        lead({_SPEAKS}) over w tells_after, lead(trim(line, ' ') = '') over w blank_after from l window w as (partition by path order by k)),
+r as (select path, k, line, k - row_number() over (partition by path order by k) run from h where tells),
+m as (select path, cast(-1 as bigint) k, trim(text, ' ') p from d where path in (select path from r)
+      union all select path, k, trim(line, ' ') from r
+      union all select path, k, trim(line || ' ' || after, ' ') from h where (tells or tells_after) and not blank and not blank_after
+      union all select path, min(k), trim(string_agg(line, ' ' order by k), ' ') from r group by path, run having count(*) > 2),
+c as (select p, count(*) times from m group by 1),
+lw as (select p, times, unnest({_LICENCE_WORD}) w from c),
+lt as (select p, times, w, count(*) tf from lw group by 1, 2, 3),
+tw as (select licence, n, unnest({_LICENCE_WORD}) w from t),
+tt as (select licence, n, w, count(*) tf from tw group by 1, 2, 3),
+z as (select (select count(*) from m) + (select count(*) from t) z),
+i as (select w, ln((z + 1) / (sum(times) + 1)) + 1 idf from (select w, times from lt
+      union all select w, 1 from tt), z group by w, z),
+lv as (select p, w, tf * idf x from lt join i using (w)),
+tv as (select licence, n, w, tf * idf y from tt join i using (w)),
+s as (select p, licence, round(sum(x * y) / (any_value(xn) * any_value(yn)), 6) cosine from lv join tv using (w)
+      join (select p, sqrt(sum(x * x)) xn from lv group by 1) using (p)
+      join (select n, sqrt(sum(y * y)) yn from tv group by 1) using (n) group by p, licence, n),
+b as (select p, licence, max(cosine) cosine from s group by 1, 2 having max(cosine) >= 0.7),
+o as (select path, licence, cosine, k, licence in (select x.licence from b x join m y using (p)
+        where y.path = m.path and y.k = -1) gives
+      from m join b using (p) qualify row_number() over (partition by path
+        order by licence = 'proprietary', cosine desc, k, licence) = 1),
+f as (select d.path, regexp_replace(d.path, '/?[^/]*$', '') dir, licence, cosine, gives from d left join o using (path)),
+g as (select dir, path, licence, cosine from f where gives
+      qualify row_number() over (partition by dir order by licence = 'proprietary', cosine desc, path, licence) = 1),
 a as (select f.path, g.licence, g.cosine, g.path giver from f join g
         on f.dir = g.dir or starts_with(f.dir, g.dir || '/') or g.dir = ''
       where f.licence is null qualify row_number() over (partition by f.path order by length(g.dir) desc) = 1)

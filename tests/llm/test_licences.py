@@ -1,8 +1,10 @@
+import pytest
+
 from adstream.llm import licences
 
 from .conftest import LONG
 
-MIT, APACHE = licences.TEMPLATES["mit"], licences.TEMPLATES["apache-2.0"]
+MIT, APACHE, MIT_TEXT = licences.TEMPLATES["mit"][2], licences.TEMPLATES["apache-2.0"][2], licences.TEMPLATES["mit"][-1]
 
 
 def scanned(spark, rows):
@@ -45,5 +47,39 @@ def test_root_licence_reaches_everything_and_ties_go_by_path(spark):
     assert ("deep/er/x", "mit", "inherited", "COPYING") in scanned(spark, rows)
 
 
-def test_no_files(spark):
-    assert scanned(spark, []) == []
+def test_licence_files_and_headers_of_many_forms(spark):
+    words = MIT_TEXT.split()
+    wrapped = "\n".join(" ".join(words[k : k + 11]) for k in range(0, len(words), 11))
+    code = "\n".join(f"int value_{k} = other_{k} + {k};" for k in range(30))
+    forms = {
+        "a/LICENSE": ("Copyright (c) 2021 Someone\n\n" + wrapped, "mit"),
+        "b/code.py": ("# SPDX-License-Identifier: Apache-2.0\n" + code, "apache-2.0"),
+        "c/code.py": ("# SPDX-License-Identifier: MIT", "mit"),
+        "d/page.txt": ("Some words of it.\nAll rights reserved.", "proprietary"),
+        "e/code.c": ("/* Licensed under the Apache\n * License, Version 2.0 */\n" + code, "apache-2.0"),
+        "f/LICENSE.md": ("# MIT License\nAll rights reserved.\n" + LONG, "mit"),
+        "g/code.c": ("// SPDX-License-Identifier: Nowhere-9.1", None),
+        "h/copying.txt": ("GNU GENERAL PUBLIC LICENSE\n   Version 3, 29 June 2007\n\nEveryone may copy.", "gpl-3.0"),
+        "i/note.txt": ("All rights reserved.", "proprietary"),
+    }
+    rows = [(p, t) for p, (t, _) in forms.items()] + [(p[0] + "/below/x", "nothing here") for p in forms]
+    got = {p: (licence, giver) for p, licence, _, giver in scanned(spark, rows)}
+    assert {p: got[p][0] for p in forms} == {p: licence for p, (_, licence) in forms.items()}
+    below = {p: got[p[0] + "/below/x"] for p in forms}
+    # Licence files and what is a licence as a whole give it to what is below them.
+    givers = {"a/LICENSE", "c/code.py", "f/LICENSE.md", "h/copying.txt", "i/note.txt"}
+    assert below == {p: (forms[p][1], p) if p in givers else (None, None) for p in forms}
+
+
+def test_one_row_many_times(spark):
+    rows = spark.createDataFrame([("a/LICENSE", MIT_TEXT), ("a/b", "x")], "path string, text string")
+    got = licences.scan(rows.crossJoin(spark.range(3000)).select("path", "text"))
+    assert {(r.path, r.licence, r["count"]) for r in got.groupBy("path", "licence").count().collect()} == {
+        ("a/LICENSE", "mit", 3000), ("a/b", "mit", 3000),
+    }
+
+
+@pytest.mark.parametrize("named", [None, {"own": ("Our own licence of 1999",)}])
+def test_no_files(spark, named):
+    files = spark.createDataFrame([], "path string, text string")
+    assert licences.scan(files, named=named).collect() == []
