@@ -5,7 +5,7 @@ digest only the earliest occurrence by document and place is kept. Units are who
 lines, and the sentences in them: a passage that was copied into another line shares
 its inner sentences with the original. Runs of repeated sentences are extended word
 by word into the sentences beside them, as a passage may begin and end anywhere. A
-long sentence is cut where its words say, so a passage within one is found too.
+long unit is cut where its words say, so a passage within one is found too.
 """
 
 from __future__ import annotations
@@ -17,13 +17,13 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from adstream.llm.tables import discard, membership, passes, split_join, stored
+from adstream.llm.tables import discard, membership, passes, set_apart, split_join, stored
 from adstream.llm.words import ascii_fold, chunks, find_words, mixed
 
 NEWLINE = 0x0A
 STOPS = b".!?"
-# A sentence of more words is cut at words of less weight than REACH on either side.
-LONG_SENTENCE = 24
+# A unit of more words is cut at words of less weight than REACH on either side.
+LONG_UNIT = 24
 REACH = 4
 PLACES = 1 << 31
 TEXTS = 10**9
@@ -34,12 +34,11 @@ ISLAND = -2
 class Repeats:
     """Fewest words of what is removed: of a line, and of a passage in other lines.
 
-    Fewer are ordinary repetition. In a passage, sentences with fewer than
-    ``unit_words`` count only beside one that was copied along with them: a document of
-    one-word sentences repeats them by chance.
+    Fewer are ordinary repetition, such as headings. A sentence with fewer words than ``unit_words`` is no
+    unit, as it repeats by chance: it belongs to the unit of the sentence after it.
     """
 
-    line_words: int = 5
+    line_words: int = 12
     words: int = 25
     unit_words: int = 4
 
@@ -54,7 +53,7 @@ def _cuts(weight: np.ndarray, line: np.ndarray) -> np.ndarray:
     return least
 
 
-def _units(data: np.ndarray, offsets: np.ndarray, fold: np.ndarray):
+def _units(data: np.ndarray, offsets: np.ndarray, fold: np.ndarray, unit_words: int):
     """Words of a chunk of texts, and the first and last word of each line and unit."""
     start, end, text, value = find_words(data, offsets, fold)
     if not len(start):
@@ -66,12 +65,14 @@ def _units(data: np.ndarray, offsets: np.ndarray, fold: np.ndarray):
     new = new_line.copy()
     new[1:] |= np.isin(data[end[:-1] - 1], np.frombuffer(STOPS, np.uint8))
     sentence = np.cumsum(new) - 1
+    new[1:] &= new_line[1:] | (np.bincount(sentence)[sentence[:-1]] >= unit_words)
+    unit = np.cumsum(new) - 1
     # The weight of a word follows from the low bits of its characters.
     low = (fold[data] & 63).astype(np.int64)
     low[:-1] *= (data[1:] & 0xC0) != 0x80
     total = np.concatenate([[0], np.cumsum(low)])
     weight = (total[end] - total[start]) * 37 % 101
-    new |= _cuts(weight, line) & (np.bincount(sentence)[sentence] > LONG_SENTENCE)
+    new |= _cuts(weight, line) & (np.bincount(unit)[unit] > LONG_UNIT)
     runs = []
     for begins in (new_line, new):
         first = np.flatnonzero(begins)
@@ -93,14 +94,15 @@ def _texts(docs: DataFrame) -> DataFrame:
     return docs.where("doc_id is not null and text is not null")
 
 
-def unit_table(docs: DataFrame, line_words: int = 1) -> DataFrame:
+def unit_table(docs: DataFrame, how: Repeats) -> DataFrame:
     """(doc_id, text_no, line, unit, last, start, end, words, h1, h2) of each unit with a word.
 
     start and end are code points of the text, end exclusive. A unit ends with its line,
-    before white space that follows a full stop, question or exclamation mark, and within
-    a long sentence. Its digest is of its words in lower case (A-Z), so white space does
-    not count. Lines of at least ``line_words`` have a row of their own, marked by
-    ``line``, with the numbers of their first and last unit; else ``last`` is ``unit``.
+    and with a sentence of ``how.unit_words``, that is before white space that follows a
+    full stop, question or exclamation mark; long ones are cut. Its digest is of its words
+    in lower case (A-Z), so white space does not count. Lines of ``how.line_words`` have a
+    row of their own, marked by ``line``, with the numbers of their first and last unit;
+    else ``last`` is ``unit``.
     """
     schema = pa.schema([
         ("doc_id", pa.int64()), ("text_no", pa.int32()), ("line", pa.bool_()), ("unit", pa.int32()), ("last", pa.int32()),
@@ -111,7 +113,7 @@ def unit_table(docs: DataFrame, line_words: int = 1) -> DataFrame:
         fold = ascii_fold()
         for batch in batches:
             for row, data, offsets in chunks(batch.column(2)):
-                found = _units(data, offsets, fold)
+                found = _units(data, offsets, fold, how.unit_words)
                 if found is None:
                     continue
                 start, end, text, value, lines, units = found
@@ -134,7 +136,7 @@ def unit_table(docs: DataFrame, line_words: int = 1) -> DataFrame:
                         ],
                         schema=schema,
                     )
-                    yield rows.filter(pa.array(last - first + 1 >= line_words)) if kind else rows
+                    yield rows.filter(pa.array(last - first + 1 >= how.line_words)) if kind else rows
 
     return _texts(docs).mapInArrow(
         hashed,
@@ -148,7 +150,7 @@ def _asked_key() -> Column:
     return F.xxhash64("doc_id", "text_no").bitwiseXOR(unit).bitwiseXOR(F.shiftleft(unit, 32))
 
 
-def _words_of(docs: DataFrame, asked: DataFrame) -> DataFrame:
+def _words_of(docs: DataFrame, asked: DataFrame, how: Repeats) -> DataFrame:
     """(doc_id, text_no, unit, hashes, starts, ends) of the units that are asked for, and
     of some more: their words, first to last."""
     wanted = membership(asked.select(_asked_key().alias("key")), "key")
@@ -158,7 +160,7 @@ def _words_of(docs: DataFrame, asked: DataFrame) -> DataFrame:
         for batch in batches:
             keys = batch.column(3).to_numpy()
             for row, data, offsets in chunks(batch.column(2)):
-                found = _units(data, offsets, fold)
+                found = _units(data, offsets, fold, how.unit_words)
                 if found is None:
                     continue
                 start, end, text, value, _, (first, last) = found
@@ -211,7 +213,7 @@ def _placed(of: str) -> Column:
 def _runs(units: DataFrame, part: Column, how: Repeats) -> DataFrame:
     """Neighbouring units with the same island and part as one row."""
     occurrence = F.struct("earliest", "unit")
-    counts = (F.col("words") >= how.unit_words) | F.col("along")
+    counts = F.col("words") >= how.unit_words
     made = units.groupBy("doc_id", "text_no", "island", part.alias("part")).agg(
         F.min("unit").alias("first"),
         F.max("unit").alias("last"),
@@ -226,7 +228,7 @@ def _runs(units: DataFrame, part: Column, how: Repeats) -> DataFrame:
     return made.withColumns({"kept": _placed("kept"), "anchor": _placed("anchor")})
 
 
-def _extended(docs: DataFrame, runs: DataFrame) -> DataFrame:
+def _extended(docs: DataFrame, runs: DataFrame, how: Repeats) -> DataFrame:
     """Islands with the words beyond their ends, and the place of what is kept of all runs.
 
     What stands before and after an island is compared with what stands before and
@@ -251,7 +253,7 @@ def _extended(docs: DataFrame, runs: DataFrame) -> DataFrame:
     run = F.struct("doc_id", "text_no", "island", "part").alias("run")
     asked = runs.select(run, F.explode(asks).alias("ask")).select("run", "ask.*").where("unit >= 0")
     asked = stored(asked, "asked_units")
-    told = split_join(asked, _words_of(docs, asked), ["doc_id", "text_no", "unit"])
+    told = split_join(asked, _words_of(docs, asked, how), ["doc_id", "text_no", "unit"])
 
     def of(role, column):
         return F.max(F.when(F.col("role") == role, F.col(column)))
@@ -294,32 +296,28 @@ def repeated_spans(docs: DataFrame, how: Repeats = Repeats()) -> DataFrame:
     those of the original text. No rows give no rows.
     """
     places, texts = (F.lit(n).cast("decimal(10,0)") for n in (PLACES, TEXTS))
-    units = stored(unit_table(docs, how.line_words), "units")
+    units = stored(unit_table(docs, how), "units")
     # The rank of an occurrence, its document before its text and place, as one number.
     rank = (F.col("doc_id").cast("decimal(19,0)") * texts + F.col("text_no")) * places + F.col("unit")
     earliest = units.groupBy("h1", "h2").agg(F.min(rank).alias("earliest"), F.count("*").alias("times"))
-    earliest = earliest.where("times > 1").drop("times")
-    again = split_join(units, earliest, ["h1", "h2"]).where(rank > F.col("earliest"))
+    earliest = stored(earliest.where("times > 1").drop("times"), "repeated_digests")
+    _, units_again = set_apart(units, F.col("h1"), earliest, "h1")
+    again = split_join(units_again, earliest, ["h1", "h2"]).where(rank > F.col("earliest"))
     again = again.drop("h1", "h2").distinct()
 
     text = Window.partitionBy("doc_id", "text_no")
     line_end = F.max(F.when(F.col("line"), F.col("last"))).over(text.orderBy("unit", F.desc("line")))
     again = again.withColumn("whole", F.coalesce(line_end >= F.col("unit"), F.lit(False))).where("not line")
     order = text.orderBy("unit")
-    moved = F.col("earliest") - F.col("unit")
-    along = [
-        F.coalesce((there(moved).over(order) == moved) & (there("unit").over(order) == F.col("unit") + step), F.lit(False))
-        for there, step in ((F.lag, -1), (F.lead, 1))
-    ]
-    again = again.withColumns({"along": along[0] | along[1], "island": F.col("unit") - F.row_number().over(order)})
+    again = again.withColumn("island", F.col("unit") - F.row_number().over(order))
     again = stored(again.drop("line", "last"), "repeated_units")
-    discard(units)
+    discard(units, earliest)
 
     order = Window.partitionBy("doc_id", "text_no", "island").orderBy("unit")
     part = F.col("unit") - F.row_number().over(order)
     lines = again.where("whole").withColumn("part", part)
     runs = _runs(again, F.lit(ISLAND), how).unionByName(_runs(lines, F.col("part"), how))
-    found = _extended(docs, stored(runs, "runs"))
+    found = _extended(docs, stored(runs, "runs"), how)
     enough = (F.col("part") == ISLAND) & (F.col("counted") >= how.words)
     passage = F.max(enough).over(Window.partitionBy("doc_id", "text_no", "island"))
     found = found.withColumns({"enough": enough, "passage": passage})

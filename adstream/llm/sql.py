@@ -109,23 +109,24 @@ v as (select w, 37 * list_sum(list_transform(string_split(w, ''), lambda c: unic
       from (select distinct w from y)),
 z as (select y.*, v, sum(cast(right(before, 1) in ('.', '!', '?') as int)) over
         (partition by doc_id order by k, p) sentence from y join v using (w)),
-c as (select *, right(before, 1) in ('.', '!', '?') or count(*) over (partition by doc_id, sentence) > 24
+k as (select *, count(*) over (partition by doc_id, sentence) long from z),
+j0 as (select *, sum(cast(right(before, 1) in ('.', '!', '?') and (p = 0 or lag_long >= 4) as int)) over
+        (partition by doc_id order by k, p) whole from (select *, lag(long) over (partition by doc_id, k order by p) lag_long from k)),
+c as (select *, right(before, 1) in ('.', '!', '?') and (p = 0 or lag_long >= 4)
+        or count(*) over (partition by doc_id, whole) > 24
         and coalesce(v < min(v) over (partition by doc_id, k order by p rows between 4 preceding and 1 preceding), true)
         and coalesce(v <= min(v) over (partition by doc_id, k order by p rows between 1 following and 4 following), true)
-        begins from z),
+        begins from j0),
 d as (select *, sum(cast(begins as int)) over (partition by doc_id order by k, p) unit from c),
 u as (select doc_id, unit, any_value(k) k, min(e - length(o)) s, max(e) e, count(*) words, list(w order by p) a,
         list(e - length(o) order by p) starts, list(e order by p) ends from d group by 1, 2),
 f as (select *, first_value(doc_id) over t fd, first_value(s) over t fs, first_value(unit) over t fu from u
       window t as (partition by a order by doc_id, unit)),
-h as (select doc_id, k, list(w order by p) a from d group by 1, 2 having count(*) >= 5),
+h as (select doc_id, k, list(w order by p) a from d group by 1, 2 having count(*) >= 12),
 q as (select doc_id, k from h qualify row_number() over (partition by a order by doc_id, k) > 1),
 r as (select f.*, q.k is not null whole, unit - row_number() over (partition by f.doc_id order by unit) island
       from f left join q using (doc_id, k) where (f.doc_id, unit) <> (fd, fu)),
-t as (select *, words >= 4 or coalesce((lag(fd) over o, lag(fu) over o) = (fd, fu - 1) and lag(unit) over o = unit - 1, false)
-        or coalesce((lead(fd) over o, lead(fu) over o) = (fd, fu + 1) and lead(unit) over o = unit + 1, false) counts,
-        row_number() over (partition by doc_id, island order by words desc, unit) longest
-      from r window o as (partition by doc_id order by unit)),
+t as (select *, words >= 4 counts, row_number() over (partition by doc_id, island order by words desc, unit) longest from r),
 i as (select doc_id, island, min(unit) u0, max(unit) u1, min(s) s, max(e) e, sum(words) words, count(*) units,
         coalesce(sum(words) filter (counts), 0) counted, arg_min(fd, unit) kd, arg_min(fs, unit) ks,
         any_value(fd) filter (longest = 1) ad, any_value(fu - unit) filter (longest = 1) moved from t group by 1, 2),

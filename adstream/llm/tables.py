@@ -2,10 +2,12 @@
 
 from __future__ import annotations
 
+from collections.abc import Iterable, Iterator
 from pathlib import Path
 
 import numpy as np
-from pyspark.sql import DataFrame, SparkSession, Window
+import pyarrow as pa
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from adstream.session import shared_folder
@@ -122,6 +124,30 @@ def passes(found: np.ndarray, keys: np.ndarray) -> np.ndarray:
     return let
 
 
+def set_apart(df: DataFrame, key: Column, keys: DataFrame, column: str) -> tuple[DataFrame, DataFrame]:
+    """The rows of ``df`` whose key is surely not among the keys, and the rest of them.
+
+    Keys are mixed longs. Where few rows meet a key, most then stay where they are, and
+    only the rest is moved for the exact join that has to follow. A null key meets none.
+    """
+    found = membership(keys, column)
+
+    @F.arrow_udf("boolean")
+    def met(values: pa.Array) -> pa.Array:
+        return pa.array(passes(found, values.to_numpy(zero_copy_only=False)))
+
+    mark = unused("_met", df)
+    marked = df.withColumn(mark, met(F.coalesce(key, F.lit(0).cast("bigint"))) & key.isNotNull())
+    return marked.where(~F.col(mark)).select(df.columns), marked.where(mark).select(df.columns)
+
+
+def pieces(batches: Iterable[pa.RecordBatch], rows: int = 1000) -> Iterator[pa.RecordBatch]:
+    """The same rows in batches of few, so that what is made of one stays small."""
+    for batch in batches:
+        for k in range(0, len(batch), rows):
+            yield batch.slice(k, rows)
+
+
 def running_totals(df: DataFrame, key: str, value: str, block: int = 4096) -> DataFrame:
     """(key, value) with the sum of ``value`` over all smaller keys, one row a key.
 

@@ -20,7 +20,8 @@ def test_later_copies_go_with_their_offsets(texts):
     late = "É first line.\nAnd now: this. " + PASSAGE.upper() + " The end."
     rows = [(2, "Intro here. " + PASSAGE), (5, late), (3, "short line"), (4, "short line"), (6, None), (7, ""), (None, PASSAGE), (2, "Intro here. " + PASSAGE)]
     at = late.index("ONE TWO")
-    assert spans(repeated_spans(texts(rows), Repeats(words=10))) == [(5, at, at + len(PASSAGE), 2, 12)]
+    # Its first sentence is a unit with the words before it, so the second is the first whole one.
+    assert spans(repeated_spans(texts(rows), Repeats(words=10))) == [(5, at, at + len(PASSAGE), 2, 41)]
 
 
 def test_repeats_within_a_text_and_few_words(texts):
@@ -61,9 +62,9 @@ def test_passages_within_one_sentence(texts):
 
 
 def test_texts_of_one_document_number_are_apart(texts):
-    line = "six words that are held twice here."
+    line = "twelve words or more that are held twice here in two texts."
     rows = [(1, line), (7, "Some other text before.\n" + line), (7, line)]
-    assert sorted((r.doc_id, r.start, r.words) for r in repeated_spans(texts(rows)).collect()) == [(7, 0, 7), (7, 24, 7)]
+    assert sorted((r.doc_id, r.start, r.words) for r in repeated_spans(texts(rows)).collect()) == [(7, 0, 12), (7, 24, 12)]
 
 
 def test_one_row_many_times(spark, texts):

@@ -1,4 +1,5 @@
 import numpy as np
+import pyarrow as pa
 from pyspark.sql import functions as F
 
 from adstream.llm import tables
@@ -38,3 +39,21 @@ def test_discarded_tables_are_gone(spark):
     assert made.count() == 3
     tables.discard(made)
     assert not tables.files.exists(spark, made.stored_at)
+
+
+def test_rows_set_apart_are_whole_and_meet_no_key(spark):
+    rows = spark.range(5000).select(F.when(F.col("id") % 50 > 0, F.col("id")).alias("id"), F.lit("x").alias("_met"))
+    keys = spark.range(100, 300).select(F.xxhash64("id").alias("key"))
+    key = F.when(F.col("id").isNotNull(), F.xxhash64("id"))
+    sure, rest = tables.set_apart(rows, key, keys, "key")
+    assert sure.columns == rest.columns == ["id", "_met"]
+    apart, others = ([r.id for r in df.collect()] for df in (sure, rest))
+    assert len(apart) + len(others) == 5000 and apart.count(None) == 100
+    assert {k for k in range(100, 300) if k % 50} <= set(others) and len(others) < 600
+
+
+def test_pieces_hold_the_same_rows():
+    batch = pa.RecordBatch.from_pydict({"x": list(range(25)), "y": [[k] * k for k in range(25)]})
+    made = list(tables.pieces([batch, batch.slice(0, 0)], 10))
+    assert [len(b) for b in made] == [10, 10, 5]
+    assert pa.Table.from_batches(made).to_pylist() == batch.to_pylist()
