@@ -16,7 +16,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from adstream.llm.tables import membership, passes, split_join, stored, unused
+from adstream.llm.tables import membership, passes, set_apart, split_join, stored, unused
 from adstream.llm.words import ascii_fold, chunks, find_words, mixed
 
 # Positions that the first mask ignores. Their differences modulo 13
@@ -179,6 +179,7 @@ def decontaminated(docs: DataFrame, benchmark: DataFrame, how: Overlap = Overlap
     Items with a null item_id count like others. Null texts and doc_ids and repeated rows stay. Without items all documents stay.
     """
     key = unused("_text_key", docs)
-    leaks = overlaps(docs, benchmark, how).select(F.col("doc_key").alias(key)).distinct()
+    leaks = stored(overlaps(docs, benchmark, how).select(F.col("doc_key").alias(key)).distinct(), "leaks")
     keyed = docs.withColumn(key, F.when(F.col("text").isNotNull(), F.xxhash64("text")))
-    return split_join(keyed, leaks, [key], "left_anti").select(docs.columns)
+    clean, rest = set_apart(keyed, F.col(key), leaks, key)
+    return clean.unionByName(split_join(rest, leaks, [key], "left_anti").select(keyed.columns)).select(docs.columns)

@@ -21,11 +21,12 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from adstream.llm.components import components
-from adstream.llm.tables import discard, membership, passes, split_join, stored, unused
+from adstream.llm.tables import discard, membership, passes, pieces, set_apart, split_join, stored, unused
 from adstream.llm.words import ascii_fold, mixed, sets
 
 LOCAL_REPEATS = 3
@@ -95,7 +96,7 @@ def profiles(docs: DataFrame, like: Similarity, levels: np.ndarray) -> DataFrame
     """Size, digests of the set and of its prefix, and the prefix, of each document."""
 
     def profiled(batches):
-        for batch in batches:
+        for batch in pieces(batches):
             rows = [[] for _ in range(6)]
             for _, s in sets(batch.column(1), like.width, ascii_fold()):
                 size = len(s)
@@ -122,7 +123,7 @@ def _sets_of(docs: DataFrame, ids: DataFrame, width: int) -> DataFrame:
     wanted = membership(ids.select(F.xxhash64("id").alias("key")), "key")
 
     def picked(batches):
-        for batch in batches:
+        for batch in pieces(batches):
             ids, texts = batch.column(0), batch.column(1)
             keep = passes(wanted, batch.column(2).to_numpy())
             rows = np.flatnonzero(keep)
@@ -145,7 +146,7 @@ def verified(docs: DataFrame, pairs: DataFrame, like: Similarity) -> DataFrame:
     other = found.select(F.col("doc_id").alias("b"), F.col("set").alias("set_b"))
 
     def compared(batches):
-        for batch in batches:
+        for batch in pieces(batches):
             keep = []
             for x, y in zip(batch.column(2), batch.column(3), strict=True):
                 x = np.frombuffer(x.as_buffer(), np.uint64)
@@ -165,6 +166,26 @@ def verified(docs: DataFrame, pairs: DataFrame, like: Similarity) -> DataFrame:
     return made
 
 
+def _tokens(heads: DataFrame, only: np.ndarray | None = None) -> DataFrame:
+    """(group_id, size, place, shingle) of each prefix, those that ``only`` lets through."""
+
+    def exploded(batches):
+        for batch in pieces(batches):
+            prefix = batch.column(2)
+            shingle = prefix.flatten()
+            row = pc.list_parent_indices(prefix)
+            count = pc.list_value_length(prefix).to_numpy(zero_copy_only=False)
+            place = np.arange(len(shingle)) - np.repeat(np.cumsum(count) - count, count)
+            made = [batch.column(k).take(row) for k in (0, 1)]
+            rows = pa.RecordBatch.from_arrays(
+                [*made, pa.array(place.astype(np.int32)), shingle], ["group_id", "size", "place", "shingle"]
+            )
+            yield rows if only is None else rows.filter(pa.array(passes(only, shingle.to_numpy())))
+
+    made = heads.select("group_id", "size", "prefix")
+    return made.mapInArrow(exploded, "group_id bigint, size bigint, place int, shingle bigint")
+
+
 def _alike(one: str, other: str, percent: int) -> Column:
     """Whether two sizes leave room for the similarity."""
     small, large = F.least(one, other), F.greatest(one, other)
@@ -199,25 +220,31 @@ def jaccard_components(docs: DataFrame, like: Similarity = Similarity()) -> Data
         F.min("doc_id").alias("set_id"),
         F.first("p1").alias("p1"),
         F.first("p2").alias("p2"),
+        F.count("*").alias("rows"),
     )
     whole = stored(whole, "distinct_sets")
     groups = whole.groupBy("size", "p1", "p2").agg(
-        F.min("set_id").alias("group_id"), F.count("*").alias("sets")
+        F.min("set_id").alias("group_id"), F.count("*").alias("sets"), F.sum("rows").alias("rows")
     )
-    copies = split_join(known, whole.drop("p1", "p2"), ["size", "s1", "s2"])
+    groups = stored(groups, "groups")
+    copies = split_join(known, whole.drop("p1", "p2", "rows"), ["size", "s1", "s2"])
     copies = copies.select(F.col("doc_id").alias("a"), F.col("set_id").alias("b"))
 
+    # A document that is alone in its group is its head; others are moved to find theirs.
+    crowded = groups.where("rows > 1").withColumn("key", F.xxhash64("size", "p1", "p2"))
+    alone, rest = set_apart(known, F.xxhash64("size", "p1", "p2"), crowded, "key")
     firsts = groups.select("group_id", "size", "p1", "p2")
-    heads = split_join(
-        known.withColumn("group_id", F.col("doc_id")), firsts, ["group_id", "size", "p1", "p2"]
-    ).dropDuplicates(["group_id", "size", "p1", "p2"])
-    tokens = heads.select("group_id", "size", F.posexplode("prefix").alias("place", "shingle"))
-    often = tokens.groupBy("shingle").agg(F.count("*").alias("groups"), F.min("group_id").alias("leader"))
-    shared = split_join(tokens, often.where("groups > 1").drop("groups"), ["shingle"])
+    same = ["group_id", "size", "p1", "p2"]
+    rest = split_join(rest.withColumn("group_id", F.col("doc_id")), firsts, same).dropDuplicates(same)
+    heads = alone.withColumn("group_id", F.col("doc_id")).unionByName(rest.select(*alone.columns, "group_id"))
+    often = _tokens(heads).groupBy("shingle").agg(F.count("*").alias("groups"), F.min("group_id").alias("leader"))
+    often = stored(often.where("groups > 1").drop("groups"), "shared_shingles")
+    shared = split_join(_tokens(heads, membership(often, "shingle")), often, ["shingle"])
     shared = stored(shared, "shared")
+    discard(often)
 
     members = split_join(
-        whole.drop("s1", "s2"), groups.where("sets > 1").drop("sets"), ["size", "p1", "p2"]
+        whole.drop("s1", "s2", "rows"), groups.where("sets > 1").drop("sets", "rows"), ["size", "p1", "p2"]
     ).select("group_id", "set_id", "size")
     members = stored(members, "members")
 
@@ -301,7 +328,7 @@ def jaccard_components(docs: DataFrame, like: Similarity = Similarity()) -> Data
     second = second.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
     links = first.unionByName(verified(docs, second, like)).unionByName(copies)
     found = components(links)
-    discard(whole, shared, members, first, parts, sets_now, placed)
+    discard(whole, groups, shared, members, first, parts, sets_now, placed)
     return split_join(
         seen.select("doc_id", F.col("size").alias("n_shingles")),
         found.withColumnRenamed("node", "doc_id"),
@@ -325,20 +352,10 @@ def representatives(docs: DataFrame, like: Similarity = Similarity()) -> DataFra
     ids = ids.agg(F.min("component_id").alias("component_id"), F.count("*").alias("rows"))
     ids = stored(ids.withColumn("stays", F.col("doc_id") == F.col("component_id")), "component_ids")
     discard(found)
-    doubtful = ids.where("not stays or rows > 1")
-    filter_ = membership(doubtful.select(F.xxhash64("doc_id").alias("key")), "key")
-
-    @F.arrow_udf("boolean")
-    def in_doubt(keys: pa.Array) -> pa.Array:
-        return pa.array(passes(filter_, keys.to_numpy(zero_copy_only=False)))
-
     number = _long("doc_id")
-    asked = F.coalesce(in_doubt(F.xxhash64(number)), F.lit(False)) & number.isNotNull()
-    mark = unused("_asked", docs)
+    doubtful = ids.where("not stays or rows > 1").select(F.xxhash64("doc_id").alias("key"))
+    sure, rest = set_apart(docs, F.when(number.isNotNull(), F.xxhash64(number)), doubtful, "key")
     key = unused("_kept_id", docs)
-    marked = docs.withColumn(mark, asked)
-    sure = marked.where(~F.col(mark)).select(docs.columns)
-    rest = marked.where(mark).drop(mark).withColumn(key, number)
     kept = ids.where("stays").select(F.col("doc_id").alias(key))
-    one = split_join(rest, kept, [key], "left_semi").dropDuplicates([key, "text"])
+    one = split_join(rest.withColumn(key, number), kept, [key], "left_semi").dropDuplicates([key, "text"])
     return sure.unionByName(one.select(docs.columns))
