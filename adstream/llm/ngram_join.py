@@ -239,7 +239,7 @@ def jaccard_components(docs: DataFrame, like: Similarity = Similarity()) -> Data
     heads = alone.withColumn("group_id", F.col("doc_id")).unionByName(rest.select(*alone.columns, "group_id"))
     often = _tokens(heads).groupBy("shingle").agg(F.count("*").alias("groups"), F.min("group_id").alias("leader"))
     often = stored(often.where("groups > 1").drop("groups"), "shared_shingles")
-    shared = split_join(_tokens(heads, membership(often, "shingle")), often, ["shingle"])
+    shared = split_join(_tokens(heads, membership(often, "shingle", 4)), often, ["shingle"])
     shared = stored(shared, "shared")
     discard(often)
 
