@@ -17,6 +17,7 @@ of all links.
 
 from __future__ import annotations
 
+from contextlib import contextmanager
 from dataclasses import dataclass
 
 import numpy as np
@@ -31,6 +32,8 @@ from adstream.llm.words import ascii_fold, mixed, sets
 
 LOCAL_REPEATS = 3
 SLOTS = 1 << 22
+BATCH_ROWS = 1000
+ARROW_BATCH = "spark.sql.execution.arrow.maxRecordsPerBatch"
 
 
 @dataclass(frozen=True)
@@ -204,9 +207,33 @@ def _enough(one: str, other: str, shared: str, percent: int) -> Column:
     return F.col(shared) + F.greatest(rest(one), rest(other)) >= needed
 
 
+@contextmanager
+def _small_batches(spark):
+    """Arrow batches of at most BATCH_ROWS rows while the steps run.
+
+    Rows carry whole texts and shingle sets; batches of the usual ten thousand of
+    them, held by the JVM and the Python worker at once, fill an executor.
+    """
+    before = spark.conf.get(ARROW_BATCH)
+    spark.conf.set(ARROW_BATCH, str(min(BATCH_ROWS, int(before))))
+    try:
+        yield
+    finally:
+        spark.conf.set(ARROW_BATCH, before)
+
+
 def jaccard_components(docs: DataFrame, like: Similarity = Similarity()) -> DataFrame:
     """(doc_id, n_shingles, component_id) of each document.
 
+    Every step is stored as it goes, in small Arrow batches.
+    """
+    with _small_batches(docs.sparkSession):
+        return _jaccard_components(docs, like)
+
+
+def _jaccard_components(docs: DataFrame, like: Similarity) -> DataFrame:
+    """(doc_id, n_shingles, component_id) of each document.
+
     Documents link when their shingle sets are similar; a component is the smallest
     doc_id that links reach. An empty or null text has no shingles and no links. A
     null doc_id has no component and links with nothing. Rows of one doc_id are one
@@ -347,6 +374,11 @@ def representatives(docs: DataFrame, like: Similarity = Similarity()) -> DataFra
     over the ids of linked and repeated documents lets through are moved and decided
     exactly, so the filter's mistakes cost time and change nothing.
     """
+    with _small_batches(docs.sparkSession):
+        return _representatives(docs, like)
+
+
+def _representatives(docs: DataFrame, like: Similarity) -> DataFrame:
     found = stored(jaccard_components(docs, like), "components")
     ids = found.where("doc_id is not null").groupBy("doc_id")
     ids = ids.agg(F.min("component_id").alias("component_id"), F.count("*").alias("rows"))

@@ -67,3 +67,19 @@ def test_one_document_of_each_group_stays(texts):
 
 def test_no_documents(texts):
     assert found(jaccard_components(texts([]))) == [] and representatives(texts([])).collect() == []
+
+
+def test_steps_run_in_small_arrow_batches(texts, monkeypatch):
+    spark = texts([]).sparkSession
+    seen, store = [], ngram_join.stored
+
+    def watched(df, name):
+        seen.append(int(spark.conf.get(ngram_join.ARROW_BATCH)))
+        return store(df, name)
+
+    monkeypatch.setattr(ngram_join, "stored", watched)
+    before = spark.conf.get(ngram_join.ARROW_BATCH)
+    rows = [(k, f"a b c d e f {k % 7}") for k in range(30)]
+    assert found(jaccard_components(texts(rows), Similarity(4, 85))) == brute(rows, 4, 85)
+    assert seen and max(seen) <= ngram_join.BATCH_ROWS
+    assert spark.conf.get(ngram_join.ARROW_BATCH) == before
