@@ -225,13 +225,15 @@ def _small_batches(spark):
 def jaccard_components(docs: DataFrame, like: Similarity = Similarity()) -> DataFrame:
     """(doc_id, n_shingles, component_id) of each document.
 
-    Every step is stored as it goes, in small Arrow batches.
+    Every step after the levels is stored as it goes, in small Arrow batches; the
+    levels count repeats within the usual batches.
     """
+    levels = common_levels(docs, like.width)
     with _small_batches(docs.sparkSession):
-        return _jaccard_components(docs, like)
+        return _jaccard_components(docs, like, levels)
 
 
-def _jaccard_components(docs: DataFrame, like: Similarity) -> DataFrame:
+def _jaccard_components(docs: DataFrame, like: Similarity, levels: np.ndarray) -> DataFrame:
     """(doc_id, n_shingles, component_id) of each document.
 
     Documents link when their shingle sets are similar; a component is the smallest
@@ -241,7 +243,7 @@ def _jaccard_components(docs: DataFrame, like: Similarity) -> DataFrame:
     and further columns change nothing. No rows give no rows.
     """
     percent = like.percent
-    seen = stored(profiles(docs, like, common_levels(docs, like.width)), "profiles")
+    seen = stored(profiles(docs, like, levels), "profiles")
     known = seen.where("size > 0 and doc_id is not null")
     whole = known.groupBy("size", "s1", "s2").agg(
         F.min("doc_id").alias("set_id"),
@@ -374,12 +376,12 @@ def representatives(docs: DataFrame, like: Similarity = Similarity()) -> DataFra
     over the ids of linked and repeated documents lets through are moved and decided
     exactly, so the filter's mistakes cost time and change nothing.
     """
+    found = stored(jaccard_components(docs, like), "components")
     with _small_batches(docs.sparkSession):
-        return _representatives(docs, like)
+        return _representatives(docs, found)
 
 
-def _representatives(docs: DataFrame, like: Similarity) -> DataFrame:
-    found = stored(jaccard_components(docs, like), "components")
+def _representatives(docs: DataFrame, found: DataFrame) -> DataFrame:
     ids = found.where("doc_id is not null").groupBy("doc_id")
     ids = ids.agg(F.min("component_id").alias("component_id"), F.count("*").alias("rows"))
     ids = stored(ids.withColumn("stays", F.col("doc_id") == F.col("component_id")), "component_ids")
