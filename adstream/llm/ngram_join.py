@@ -33,6 +33,7 @@ from adstream.llm.words import ascii_fold, mixed, sets
 LOCAL_REPEATS = 3
 SLOTS = 1 << 22
 BATCH_ROWS = 1000
+COUNTED_AT_ONCE = 1 << 22
 ARROW_BATCH = "spark.sql.execution.arrow.maxRecordsPerBatch"
 
 
@@ -65,15 +66,27 @@ def common_levels(docs: DataFrame, width: int) -> np.ndarray:
     decides the order of shingles only: a wrong level costs time and loses nothing.
     """
 
+    def tallied(made):
+        value, times = np.unique(np.concatenate(made or [np.empty(0, np.uint64)]), return_counts=True)
+        keep = times >= LOCAL_REPEATS
+        return pa.RecordBatch.from_arrays(
+            [pa.array(value[keep].view(np.int64)), pa.array(times[keep])],
+            ["shingle", "times"],
+        )
+
     def counted(batches):
+        # Repeats are counted within about COUNTED_AT_ONCE shingles: a batch of long
+        # texts is counted in parts, so that a task holds no more than that.
         for batch in batches:
-            made = [s for _, s in sets(batch.column(0), width, ascii_fold())]
-            value, times = np.unique(np.concatenate(made or [np.empty(0, np.uint64)]), return_counts=True)
-            keep = times >= LOCAL_REPEATS
-            yield pa.RecordBatch.from_arrays(
-                [pa.array(value[keep].view(np.int64)), pa.array(times[keep])],
-                ["shingle", "times"],
-            )
+            made, held = [], 0
+            for piece in pieces([batch]):
+                for _, s in sets(piece.column(0), width, ascii_fold()):
+                    made.append(s)
+                    held += len(s)
+                    if held >= COUNTED_AT_ONCE:
+                        yield tallied(made)
+                        made, held = [], 0
+            yield tallied(made)
 
     made = docs.select("text").mapInArrow(counted, "shingle bigint, times bigint")
     total = made.groupBy("shingle").agg(F.sum("times").alias("times"))

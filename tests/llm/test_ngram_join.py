@@ -83,3 +83,10 @@ def test_steps_run_in_small_arrow_batches(texts, monkeypatch):
     assert found(jaccard_components(texts(rows), Similarity(4, 85))) == brute(rows, 4, 85)
     assert seen and max(seen) <= ngram_join.BATCH_ROWS
     assert spark.conf.get(ngram_join.ARROW_BATCH) == before
+
+
+def test_long_texts_are_counted_in_parts(texts, monkeypatch):
+    monkeypatch.setattr(ngram_join, "COUNTED_AT_ONCE", 8)
+    draw = random.Random(7)
+    rows = [(k, changed([f"w{j}" for j in range(60)], k % 3, draw)) for k in range(20)]
+    assert found(jaccard_components(texts(rows), Similarity(4, 85))) == brute(rows, 4, 85)
